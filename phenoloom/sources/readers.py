@@ -42,7 +42,8 @@ def convert_dictionary(spark: SparkSession, source: str, target: str) -> None:
 
 
 def read_codings(spark: SparkSession, directory: str) -> DataFrame:
-    """All ``coding<N>.tsv`` files of a folder, keyed (coding_id, coding).
+    """All ``coding<N>.tsv`` files (or folders of parts) of a folder, keyed
+    (coding_id, coding).
 
     Files with and without the hierarchy columns are told apart by header, one
     scan each.
@@ -66,7 +67,7 @@ def read_codings(spark: SparkSession, directory: str) -> DataFrame:
             spark.read.schema(_schema(**dict.fromkeys(names, "string")))
             .options(header=True, sep="\t", quote="", nullValue="NA")
             .csv(group)
-            .withColumn("coding_id", F.regexp_extract("_metadata.file_name", r"coding(\d+)", 1).cast("int"))
+            .withColumn("coding_id", F.regexp_extract("_metadata.file_path", r".*coding(\d+)\.tsv", 1).cast("int"))
         )
         tables.append(table)
     union = tables[0]
@@ -120,13 +121,13 @@ MFI = _schema(varid="string", rsid="string", pos="int", ref="string", alt="strin
               minor_allele="string", info="double")
 
 
-def read_variant_info(spark: SparkSession, paths: str | Sequence[str], pattern: str = r"chr([0-9A-Z]+)") -> DataFrame:
+def read_variant_info(spark: SparkSession, paths: str | Sequence[str], pattern: str = r".*chr(XY|X|Y|MT|\d+)") -> DataFrame:
     """Headerless per-chromosome variant statistics, keyed by contig, pos, alleles.
 
-    The chromosome is in the file name; the pseudo-autosomal XY counts as X.
+    The chromosome is in the file path; the pseudo-autosomal XY counts as X.
     """
     raw = spark.read.schema(MFI).options(sep="\t", nullValue="NA", quote="").csv(paths)
-    chromosome = F.regexp_extract("_metadata.file_name", pattern, 1)
+    chromosome = F.regexp_extract("_metadata.file_path", pattern, 1)
     return raw.select(
         F.when(chromosome == "XY", "X").otherwise(chromosome).alias("contig"),
         "pos",
@@ -160,8 +161,9 @@ def read_variant_results(spark: SparkSession, directory: str, extension: str = "
     return _typed(raw, VARIANT_RESULT_TYPES)
 
 
-def read_gene_results(spark: SparkSession, directory: str) -> DataFrame:
-    raw = _by_header(spark, f"{directory}/*.gene.txt", " ", nullValue="NA", quote="")
+def read_gene_results(spark: SparkSession, directory: str, extension: str = "gene.txt") -> DataFrame:
+    """Space-separated gene results; NA is missing."""
+    raw = _by_header(spark, f"{directory}/*.{extension}", " ", nullValue="NA", quote="")
     return _typed(raw, GENE_RESULT_TYPES)
 
 
