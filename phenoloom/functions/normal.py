@@ -5,6 +5,7 @@ The normal quantile follows Wichura's published algorithm AS 241 (PPND16).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -27,30 +28,43 @@ TAIL_DEN = [1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.4875361
 MEDIAN_CHI2 = 0.4549364231195724
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value`` computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _horner(x: Column, coefficients: list[float]) -> Column:
     return reduce(lambda total, c: total * x + F.lit(c), reversed(coefficients[:-1]), F.lit(coefficients[-1]))
 
 
 def _ratio(x: Column, numerator: list[float], denominator: list[float]) -> Column:
-    return _horner(x, numerator) / _horner(x, denominator)
+    return let(x, lambda v: _horner(v, numerator) / _horner(v, denominator))
 
 
 def normal_quantile(p: Column) -> Column:
     """Inverse normal distribution function; NULL outside (0, 1)."""
-    q = p - 0.5
-    r = F.sqrt(-F.log(F.when(q < 0, p).otherwise(1.0 - p)))
-    outer = F.when(r <= 5.0, _ratio(r - 1.6, MIDDLE_NUM, MIDDLE_DEN)).otherwise(
-        _ratio(r - 5.0, TAIL_NUM, TAIL_DEN)
-    )
-    central = q * _ratio(F.lit(0.180625) - q * q, CENTRAL_NUM, CENTRAL_DEN)
-    value = F.when(F.abs(q) <= 0.425, central).when(q < 0, -outer).otherwise(outer)
-    return F.when((p > 0) & (p < 1), value)
+
+    def tails(p: Column) -> Column:
+        r = F.sqrt(-F.log(F.least(p, 1.0 - p)))
+        size = let(
+            r,
+            lambda v: F.when(v <= 5.0, _ratio(v - 1.6, MIDDLE_NUM, MIDDLE_DEN)).otherwise(
+                _ratio(v - 5.0, TAIL_NUM, TAIL_DEN)
+            ),
+        )
+        return F.when(p < 0.5, -size).otherwise(size)
+
+    def center(p: Column) -> Column:
+        return let(p - 0.5, lambda q: q * _ratio(F.lit(0.180625) - q * q, CENTRAL_NUM, CENTRAL_DEN))
+
+    return let(p, lambda v: F.when((v > 0) & (v < 1), F.when(F.abs(v - 0.5) <= 0.425, center(v)).otherwise(tails(v))))
 
 
 def chi2_upper_quantile(p: Column) -> Column:
     """Value exceeded with probability ``p`` by a chi-squared with 1 d.f."""
-    z = normal_quantile(p / 2)
-    return F.when(p == 0, F.lit(float("inf"))).otherwise(z * z)
+    return let(
+        p, lambda v: F.when(v == 0, F.lit(float("inf"))).otherwise(F.pow(normal_quantile(v / 2), F.lit(2.0)))
+    )
 
 
 def lambda_gc(lower: Column, upper: Column) -> Column:

@@ -55,20 +55,20 @@ def load_variant_results(
     id_column = "markerID" if "markerID" in scan.columns else "SNPID"
     if key:
         scan = scan.withColumns({k: F.lit(v) for k, v in key.items()})
-    parts = F.split(id_column, "_")
+    spent = ["p.value", "N", "Tstat"]
+    if id_column == "SNPID":
+        spent += ["CHR", "POS", "SNPID", "Allele1", "Allele2"]
+    kept_fields = [scan[f"`{c}`"] for c in scan.columns if c not in spent]
+    parts = F.split(scan[id_column], "_")
     locus = F.split(F.get(parts, F.lit(0)), ":")
-    keyed = scan.withColumns(
-        {
-            "contig": F.get(locus, F.lit(0)),
-            "pos": F.get(locus, F.lit(1)).try_cast("int"),
-            "alleles": F.split(F.get(parts, F.lit(1)), "/"),
-            "Pvalue": F.col("`p.value`"),
-        }
+    keyed = scan.select(
+        F.get(locus, F.lit(0)).alias("contig"),
+        F.get(locus, F.lit(1)).try_cast("int").alias("pos"),
+        F.split(F.get(parts, F.lit(1)), "/").alias("alleles"),
+        *kept_fields,
+        scan["`p.value`"].alias("Pvalue"),
     )
-    dropped = ["p.value", "N", "Tstat"]
-    if id_column == "SNPID":
-        dropped += ["CHR", "POS", "SNPID", "Allele1", "Allele2"]
-    kept = one_per_key(keyed.drop(*dropped), [*VARIANT, *PHENO_KEY])
+    kept = one_per_key(keyed, [*VARIANT, *PHENO_KEY])
     described = with_metadata(kept, metadata).withColumn("log_pvalue", F.lit(log_pvalue))
     return lookup(described, annotation, VARIANT, unique=True)
 
@@ -173,7 +173,7 @@ def unify_burden(df: DataFrame) -> DataFrame:
         return unified
     key = [c for c in unified.columns if c not in fields and c != "total_variants"]
     ordered = _aligned(df, fields | {"total_variants": "int"} | {c: df.schema[c].dataType for c in rest})
-    return ordered.select(*key, *fields, "total_variants", *rest)
+    return ordered.select(*key, *[f"`{c}`" for c in fields], "total_variants", *rest)
 
 
 def _wider(left: T.DataType, right: T.DataType) -> T.DataType:

@@ -276,7 +276,7 @@ def points(t):
 )
 def j10(t):
     genes = t.genes.select("contig", "start", "end", "gene_id")
-    return variants.overlap_join(points(t), genes, bin_width=1000)
+    return variants.overlap_join(points(t), genes, bin_width=1000).select("contig", "pos", "order_id", "gene_id")
 
 
 @query(
@@ -308,15 +308,15 @@ _OFFSETS = ", ".join(f"('{c}', {o})" for c, o in zip(_LENGTHS, [0, *accumulate(_
 
 @query(
     "C8_even_intervals",
-    f"""SELECT l_orderkey AS order_id, l_partkey AS part_id, ofs + l_orderkey * 100 % 40000000 - 1 AS global_pos,
-        ((ofs + l_orderkey * 100 % 40000000 - 1) // {int(sum(_LENGTHS.values()) / 50) + 1})::INTEGER AS slice
+    f"""SELECT l_orderkey AS order_id, l_partkey AS part_id, ofs + l_orderkey * 100 % 40000000 AS global_pos,
+        ((ofs + l_orderkey * 100 % 40000000) // {int(sum(_LENGTHS.values()) / 50) + 1})::INTEGER AS slice
     FROM lineitem JOIN (VALUES {_OFFSETS}) offsets(contig, ofs) ON contig = (l_partkey % 22 + 1)::VARCHAR""",
 )
 def c8(t):
     placed = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_id"),
         global_position(
-            (F.col("l_partkey") % 22 + 1).cast("string"), F.col("l_orderkey") * 100 % 40000000, _LENGTHS
+            (F.col("l_partkey") % 22 + 1).cast("string"), F.col("l_orderkey") * 100 % 40000000 + 1, _LENGTHS
         ).alias("global_pos"),
     )
     return placed.withColumn("slice", even_interval(F.col("global_pos"), sum(_LENGTHS.values()), 50))

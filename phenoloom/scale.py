@@ -157,7 +157,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_row"))
     return kept.select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest])
 
 
