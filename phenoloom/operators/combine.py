@@ -16,6 +16,7 @@ from phenoloom.operators.icd import prefer_truncated
 from phenoloom.operators.munging import case_counts
 from phenoloom.operators.reshape import densify, fill_cols, sex_values, union_cols
 from phenoloom.scale import lookup, one_per_key
+from phenoloom.session import stage
 
 ROW = "userId"
 COUNTS = ["n_cases_defined", "n_cases_both_sexes", "n_cases_females", "n_cases_males"]
@@ -33,7 +34,8 @@ def _assemble(
     its column fields that are part of the key, and the covariates."""
     col_key = list(frame.col_key)
     source = frame.entries.withColumnRenamed(frame.row_key[0], ROW)
-    with_sex = lookup(source, covariates, [ROW], unique=True)
+    # Staged once per source: counts and values are two passes over it.
+    with_sex = stage(lookup(source, covariates, [ROW], unique=True))
     counted = with_sex.groupBy(*col_key).agg(*counts)
     names = [c for c in counted.columns if c not in col_key]
     joined = frame.cols.join(counted, col_key, "left").fillna(0, names)
@@ -124,9 +126,9 @@ def _icd(frame, covariates, name, legacy, truncated_codes_only=True, store_false
     full = _assemble(frame, covariates, key, texts, sex_values(case, sex), case_counts(case, sex))
     if not store_false:
         return full
-    dense = densify(full.with_(entries=full.entries.select(ROW, *PHENO_KEY, "both_sexes")), {"both_sexes": 0.0})
-    with_sex = lookup(dense.entries, covariates, [ROW], unique=True)
-    return full.with_(entries=with_sex.select(ROW, *PHENO_KEY, *sex_values(F.col("both_sexes"), sex)))
+    known = full.with_(entries=full.entries.select(ROW, *PHENO_KEY, "both_sexes"))
+    dense = densify(known, {"both_sexes": 0.0}, row_fields=["sex"]).entries
+    return full.with_(entries=dense.select(ROW, *PHENO_KEY, *sex_values(F.col("both_sexes"), sex)))
 
 
 def _first_occurrence(frame, covariates, name, legacy):

@@ -122,21 +122,25 @@ def sex_values(value: Column, sex: Column) -> list[Column]:
     ]
 
 
-def densify(frame: MatrixFrame, fill: dict[str, float] | None = None) -> MatrixFrame:
-    """Give every (row, column) an entry; ``fill`` replaces missing values."""
-    keys = [*frame.row_key, *frame.col_key]
-    grid = every_cell(frame.rows.select(*frame.row_key), frame.cols.select(*frame.col_key))
-    entries = grid.join(frame.entries, keys, "left")
-    for field, value in (fill or {}).items():
-        entries = entries.withColumn(field, F.coalesce(F.col(field), F.lit(value)))
-    return frame.with_(entries=entries)
+def densify(
+    frame: MatrixFrame, fill: dict[str, float] | None = None, row_fields: Sequence[str] = ()
+) -> MatrixFrame:
+    """Give every (row, column) an entry; ``fill`` replaces missing values.
+
+    ``row_fields`` are carried along to the entries. Cells must be unique.
+    """
+    rows = frame.rows.select(*frame.row_key, *row_fields)
+    entries = every_cell(rows, frame.cols.select(*frame.col_key), frame.entries, frame.row_key)
+    filled = {f: F.coalesce(F.col(f), F.lit(v)) for f, v in (fill or {}).items()}
+    return frame.with_(entries=entries.withColumns(filled) if filled else entries)
 
 
 def fill_cols(frame: MatrixFrame, condition: Column, value: float = 0.0) -> MatrixFrame:
-    """Densify only the columns matching ``condition``, filling with ``value``."""
-    chosen, others = frame.filter_cols(condition), frame.filter_cols(~condition)
+    """Densify only some columns, filling with ``value``; ``condition`` is over
+    the column key."""
+    chosen = frame.with_(cols=frame.cols.filter(condition), entries=frame.entries.filter(condition))
     filled = densify(chosen, {f: value for f in frame.entry_fields})
-    return frame.with_(entries=others.entries.unionByName(filled.entries))
+    return frame.with_(entries=frame.entries.filter(~condition).unionByName(filled.entries))
 
 
 def union_cols(frames: Sequence[MatrixFrame], rows: str = "outer") -> MatrixFrame:

@@ -321,23 +321,18 @@ def lambda_by_cutoff(
     p = F.col(pvalue)
     narrow = entries.select(*pheno_key, p.alias("_p"), reached.alias("_reached"))
     hit = (F.col("_p") < threshold) & ~F.isnan("_p")
-    per = narrow.groupBy(*pheno_key).agg(
-        *[F.count_if(F.col("_reached") > j).alias(f"v{j}") for j in range(len(bounds))],
-        *[F.count_if((F.col("_reached") > j) & hit).alias(f"s{j}") for j in range(len(bounds))],
-    )
-    counts = per.select(
-        *pheno_key,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(j).alias("j"), F.lit(c).alias("cutoff"),
-                        F.col(f"v{j}").alias("n_variants"), F.col(f"s{j}").alias("n_sig"),
-                    )
-                    for j, c in enumerate(bounds)
-                ]
-            )
-        ),
+    # One small record per phenotype and number of cutoffs reached, spread over
+    # the cutoffs afterwards.
+    cutoff = F.posexplode(F.array(*[F.lit(c) for c in bounds])).alias("j", "cutoff")
+    counts = (
+        narrow.groupBy(*pheno_key, "_reached")
+        .agg(F.count("*").alias("_n"), F.count_if(hit).alias("_s"))
+        .select(*pheno_key, "_reached", "_n", "_s", cutoff)
+        .groupBy(*pheno_key, "j", "cutoff")
+        .agg(
+            F.sum(F.when(F.col("_reached") > F.col("j"), F.col("_n")).otherwise(0)).alias("n_variants"),
+            F.sum(F.when(F.col("_reached") > F.col("j"), F.col("_s")).otherwise(0)).alias("n_sig"),
+        )
     )
     middles = nested_middles(narrow, pheno_key, "_p", F.col("_reached") - 1, len(bounds)).select(
         *pheno_key, "j", lambda_gc(F.col("lower"), F.col("upper")).alias("lambda_gc")

@@ -82,7 +82,7 @@ def previous_row(
 def nested_middles(
     df: DataFrame, group: Sequence[str], value: str, level: Column, n_levels: int
 ) -> DataFrame:
-    """Exact middle values of nested subsets ``level >= j`` for every group.
+    """Exact middle values of the nested subsets ``level >= j`` of every group.
 
     Returns ``group``, ``j``, ``n``, ``lower``, ``upper``: the number of values
     and the two middle ones (equal for odd ``n``). NULL and NaN values are left
@@ -92,64 +92,56 @@ def nested_middles(
     steps = range(n_levels)
     weighted = (
         df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-        .withColumn("_level", level)
-        .groupBy(*group, value)
-        .agg(*[F.count_if(F.col("_level") >= j).alias(f"c{j}") for j in steps])
-        .filter(F.col("c0") > 0)
+        .select(*group, F.col(value).alias("_v"), level.cast("int").alias("_level"))
+        .filter("_level >= 0")
+        .groupBy(*group, "_v", "_level")
+        .agg(F.count("*").alias("_n"))
     )
-    tiled = tiles(weighted, [*group, value])
-    sums = tiled.groupBy(TILE, *group).agg(*[F.sum(f"c{j}").alias(f"s{j}") for j in steps])
-    per_group = Window.partitionBy(*group)
-    earlier = per_group.orderBy(TILE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        TILE,
-        *group,
-        *[f"s{j}" for j in steps],
-        *[F.coalesce(F.sum(f"s{j}").over(earlier), F.lit(0)).alias(f"b{j}") for j in steps],
-        *[F.sum(f"s{j}").over(per_group).alias(f"n{j}") for j in steps],
+    tiled = tiles(weighted, [*group, "_v", "_level"])
+    sums = (
+        tiled.groupBy(TILE, *group, "_level")
+        .agg(F.sum("_n").alias("_s"))
+        .select(TILE, *group, "_s", F.explode(F.sequence(F.lit(0), F.col("_level"))).alias("j"))
+        .groupBy(TILE, *group, "j")
+        .agg(F.sum("_s").alias("_s"))
     )
-
-    def lower(j):
-        return F.expr(f"(n{j} + 1) div 2")
-
-    def upper(j):
-        return F.expr(f"n{j} div 2 + 1")
-
-    holds_middle = F.lit(False)
-    for j in steps:
-        before, within = F.col(f"b{j}"), F.col(f"s{j}")
-        holds_middle = holds_middle | ((before < upper(j)) & (before + within >= lower(j)))
-    offsets = offsets.filter(holds_middle).drop(*[f"s{j}" for j in steps])
-    running = Window.partitionBy(TILE, *group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = tiled.join(offsets, [TILE, *group]).select(
-        *group,
-        value,
-        *[f"n{j}" for j in steps],
-        *[(F.col(f"b{j}") + F.sum(f"c{j}").over(running)).alias(f"r{j}") for j in steps],
+    per_set = Window.partitionBy(*group, "j")
+    earlier = per_set.orderBy(TILE).rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.withColumns(
+        {"before": F.coalesce(F.sum("_s").over(earlier), F.lit(0)), "n": F.sum("_s").over(per_set)}
+    ).withColumns({"lo": F.expr("(n + 1) div 2"), "hi": F.expr("n div 2 + 1")})
+    # At most n_levels small records per tile and group: the sets whose middle
+    # lies in the tile.
+    needs = (
+        placed.filter("before < hi AND before + _s >= lo")
+        .groupBy(TILE, *group)
+        .agg(F.collect_list(F.struct("j", "before", "n", "lo", "hi")).alias("_needs"))
     )
-    middles = ranked.groupBy(*group).agg(
-        *[
-            expr
-            for j in steps
-            for expr in (
-                F.max(f"n{j}").alias(f"n{j}"),
-                F.min(F.when(F.col(f"r{j}") >= lower(j), F.col(value))).alias(f"lo{j}"),
-                F.min(F.when(F.col(f"r{j}") >= upper(j), F.col(value))).alias(f"hi{j}"),
-            )
-        ]
+    running = Window.partitionBy(TILE, *group).orderBy("_v", "_level").rowsBetween(Window.unboundedPreceding, 0)
+    sums_so_far = F.array(*[F.sum(F.when(F.col("_level") >= j, F.col("_n"))).over(running) for j in steps])
+    # Hash the few needs against the tiles: the tiles are shuffled once, by the
+    # keys the window needs as well.
+    ranked = tiled.join(needs.hint("shuffle_hash"), [TILE, *group]).select(
+        *group, "_v", "_level", "_n", "_needs", sums_so_far.alias("_so_far")
     )
-    packed = F.array(
-        *[
-            F.struct(
-                F.lit(j).alias("j"),
-                F.col(f"n{j}").alias("n"),
-                F.col(f"lo{j}").alias("lower"),
-                F.coalesce(F.col(f"hi{j}"), F.col(f"lo{j}")).alias("upper"),
-            )
-            for j in steps
-        ]
+
+    last = F.col("before") + F.get("_so_far", F.col("j"))
+    picks = (
+        ranked.select(*group, "_v", "_level", "_n", "_so_far", F.inline("_needs"))
+        .filter("_level >= j")
+        .withColumns({"last": last, "first": last - F.col("_n") + 1})
+        .withColumns({"is_lower": F.expr("lo BETWEEN first AND last"), "is_upper": F.expr("hi BETWEEN first AND last")})
+        .filter("is_lower OR is_upper")
+    )
+    return (
+        picks.groupBy(*group, "j")
+        .agg(
+            F.max("n").alias("n"),
+            F.min(F.when(F.col("is_lower"), F.col("_v"))).alias("lower"),
+            F.min(F.when(F.col("is_upper"), F.col("_v"))).alias("upper"),
+        )
+        .withColumn("upper", F.coalesce("upper", "lower"))
     )
-    return middles.select(*group, F.inline(packed))
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -168,22 +160,43 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], unique: bool =
     return left.join(right if unique else one_per_key(right, on), list(on), "left")
 
 
-def every_cell(rows: DataFrame, cols: DataFrame, block: int = 1024) -> DataFrame:
-    """All (row, column) cells of a dense grid.
+def every_cell(
+    rows: DataFrame, cols: DataFrame, entries: DataFrame, row_key: Sequence[str], block: int = 1024
+) -> DataFrame:
+    """All (row, column) cells of a dense grid with their entry, if any.
 
-    Column keys are packed into hashed blocks of about ``block``; each row is
-    paired with the blocks by an equi-join, then unpacked.
+    Column keys and each row's entries are packed by hashed column blocks of
+    about ``block``; a row meets the blocks by an equi-join and unpacks them.
+    Only row keys per block and the sparse entries are shuffled, the dense cells
+    are made last.
     """
-    blocks = cols.agg((F.count("*") / block).cast("int").alias("n"))
-    named = [F.col(c) for c in cols.columns]
+    key = cols.columns
+    fields = [c for c in entries.columns if c not in (*row_key, *key)]
+    n_blocks = cols.agg((F.count("*") / block).cast("int") + 1).scalar()
     packs = (
-        cols.withColumn("_blocks", blocks.scalar())
-        .groupBy(F.pmod(F.xxhash64(*named), F.col("_blocks") + 1).cast("int").alias("_block"))
-        .agg(F.collect_list(F.struct(*named)).alias("_cols"))
+        cols.withColumn("_blocks", n_blocks)
+        .groupBy(F.pmod(F.xxhash64(*key), F.col("_blocks")).cast("int").alias("_block"))
+        .agg(F.array_sort(F.collect_list(F.struct(*key))).alias("_cols"))
     )
-    return (
-        rows.withColumn("_blocks", blocks.scalar())
-        .select(*rows.columns, F.explode(F.sequence(F.lit(0), F.col("_blocks"))).alias("_block"))
-        .join(packs, "_block")
-        .select(*rows.columns, F.inline("_cols"))
+    positions = packs.select("_block", F.posexplode("_cols").alias("_at", "_col")).select("_block", "_at", "_col.*")
+    filled = (
+        entries.join(positions, key)
+        .groupBy(*row_key, "_block")
+        .agg(F.map_from_entries(F.collect_list(F.struct("_at", F.struct(*fields)))).alias("_cells"))
+    )
+    # The partition count is given, so that small row keys are not merged into
+    # too few tasks before they are multiplied by the columns.
+    n_partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grid = (
+        rows.withColumn("_blocks", n_blocks)
+        .select(*rows.columns, F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+        .repartition(n_partitions, *row_key, "_block")
+        .join(filled, [*row_key, "_block"], "left")
+        .join(packs, "_block", "left")
+    )
+    cells = F.transform(
+        "_cols", lambda c, i: F.struct(c.alias("_col"), F.try_element_at("_cells", i).alias("_entry"))
+    )
+    return grid.select(*rows.columns, F.inline(cells)).select(
+        *rows.columns, "_col.*", *[F.col(f"_entry.{f}").alias(f) for f in fields]
     )
