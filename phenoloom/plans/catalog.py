@@ -6,7 +6,7 @@ from importlib import import_module
 
 from phenoloom.plans.registry import ORACLE, QUERIES
 
-MODULES = ["phenotype_queries", "variant_queries", "result_queries"]
+MODULES = ["phenotype_queries", "variant_queries", "result_queries", "source_queries"]
 
 
 def _load() -> None:
