@@ -182,7 +182,7 @@ def every_cell(
     filled = (
         entries.join(positions, key)
         .groupBy(*row_key, "_block")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_at", F.struct(*fields)))).alias("_cells"))
+        .agg(F.collect_list(F.struct("_at", F.struct(*fields).alias("_entry"))).alias("_cells"))
     )
     # The partition count is given, so that small row keys are not merged into
     # too few tasks before they are multiplied by the columns.
@@ -194,9 +194,15 @@ def every_cell(
         .join(filled, [*row_key, "_block"], "left")
         .join(packs, "_block", "left")
     )
+    kind = filled.schema["_cells"].dataType
+    present = F.coalesce("_cells", F.array().cast(kind))
+    places = F.sequence(F.lit(0), F.size("_cols") - 1)
+    absent = F.array_except(places, F.transform(present, lambda c: c["_at"]))
+    nothing = F.lit(None).cast(kind.elementType["_entry"].dataType)
+    every = F.concat(present, F.transform(absent, lambda at: F.struct(at.alias("_at"), nothing.alias("_entry"))))
     cells = F.transform(
-        "_cols", lambda c, i: F.struct(c.alias("_col"), F.try_element_at("_cells", i).alias("_entry"))
+        every, lambda c: F.struct(F.get("_cols", c["_at"]).alias("_col"), c["_entry"].alias("_entry"))
     )
-    return grid.select(*rows.columns, F.inline(cells)).select(
+    return grid.filter("_cols IS NOT NULL").select(*rows.columns, F.inline(cells)).select(
         *rows.columns, "_col.*", *[F.col(f"_entry.{f}").alias(f) for f in fields]
     )

@@ -42,6 +42,9 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -51,4 +54,13 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the staged tables of this process once their results are written."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)

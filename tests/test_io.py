@@ -114,6 +114,27 @@ def test_vcf_text(spark, tmp_path):
     assert header[0] == "##fileformat=VCFv4.2" and header[1].endswith("FORMAT\ta\tb")
 
 
+@pytest.mark.parametrize("block", [1, 2, 1024])
+def test_vcf_blocks_of_samples(spark, block):
+    rows = [("1", 5, ["A", "C"], "c", [0, 1]), ("1", 6, ["A", "C"], "a", [1, 1]), ("1", 6, ["A", "C"], "e", None)]
+    g = spark.createDataFrame(rows, "contig string, pos int, alleles array<string>, sample string, GT array<int>")
+    names = spark.createDataFrame([(x,) for x in "abcde"], "sample string")
+    got = {r.pos: r.value.split("\t")[9:] for r in writers.vcf_lines(g, names, block).collect()}
+    assert got == {5: ["./.", "./.", "0/1", "./.", "./."], 6: ["1/1", "./.", "./.", "./.", "0/0"]}
+
+
+def test_drop_staged(spark, tmp_path):
+    import os
+
+    from phenoloom import session
+
+    session.stage(spark.range(3))
+    path = session._staged[-1].removeprefix("file:")
+    assert os.path.isdir(path)
+    session.drop_staged(spark)
+    assert not os.path.exists(path) and not session._staged
+
+
 def export_frame(spark):
     key = ("icd10", "E11")
     cells = [(i, *key, "both_sexes", "", "", 1.0 if i < 4 else 0.0) for i in range(6)]
