@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from phenoloom.model import MatrixFrame
 from phenoloom.operators.munging import any_true
 from phenoloom.scale import lookup
+from phenoloom.session import stage
 
 # Data fields that hold the codes of each source.
 ICD10_FIELDS = {
@@ -42,12 +43,11 @@ def icd_matrix(
     """
     sources = sources or list(ICD10_FIELDS)
     flags = [F.bool_or(F.col("source") == s).alias(s) for s in sources]
-    entries = (
-        records.groupBy(row_key, "icd_code")
-        .agg(*flags)
-        .withColumns({"any_codes": F.lit(True), "truncated": F.lit(False)})
+    # Staged: codes, roll-up and the cells themselves all read it.
+    entries = stage(records.groupBy(row_key, "icd_code").agg(*flags)).withColumns(
+        {"any_codes": F.lit(True), "truncated": F.lit(False)}
     )
-    codes = records.select("icd_code").distinct()
+    codes = entries.select("icd_code").distinct()
     short = F.substring("icd_code", 1, 3)
     rollup = (
         codes.filter(F.length("icd_code").isin(3, 4))
@@ -67,7 +67,7 @@ def icd_matrix(
     key = ["icd_code", "truncated"]
     cols = codes.withColumn("truncated", F.lit(False)).unionByName(rollup.withColumn("truncated", F.lit(True)))
     if rows is None:
-        rows = records.select(row_key).distinct()
+        rows = entries.select(row_key).distinct()
     return MatrixFrame(rows, cols, entries.unionByName(merged), [row_key], key)
 
 

@@ -200,9 +200,10 @@ def every_cell(
     absent = F.array_except(places, F.transform(present, lambda c: c["_at"]))
     nothing = F.lit(None).cast(kind.elementType["_entry"].dataType)
     every = F.concat(present, F.transform(absent, lambda at: F.struct(at.alias("_at"), nothing.alias("_entry"))))
-    cells = F.transform(
-        every, lambda c: F.struct(F.get("_cols", c["_at"]).alias("_col"), c["_entry"].alias("_entry"))
-    )
-    return grid.filter("_cols IS NOT NULL").select(*rows.columns, F.inline(cells)).select(
-        *rows.columns, "_col.*", *[F.col(f"_entry.{f}").alias(f) for f in fields]
+    cells = grid.filter("_cols IS NOT NULL").select(*rows.columns, "_cols", F.inline(every))
+    column = F.get("_cols", F.col("_at"))
+    return cells.select(
+        *rows.columns,
+        *[column[k].alias(k) for k in key],
+        *[F.col(f"_entry.{f}").alias(f) for f in fields],
     )
