@@ -37,29 +37,39 @@ def word(line: Column, i: int) -> Column:
     return F.get(words(line), F.lit(i))
 
 
-def with_next_lines(lines: DataFrame, n: int = 1) -> DataFrame:
-    """Add ``next1..nextn``, the following lines of the same file."""
-    inside = Window.partitionBy("file", "block").orderBy("line")
-    led = lines.withColumns({f"_n{i}": F.lead("value", i).over(inside) for i in range(1, n + 1)})
-    led = led.withColumn("_left", F.count("*").over(Window.partitionBy("file", "block")) - F.row_number().over(inside))
-    # The first n lines of each block serve the end of the block before it.
-    heads = (
-        lines.withColumn("_k", F.row_number().over(inside))
-        .filter(F.col("_k") <= n)
-        .groupBy("file", "block")
-        .agg(F.array_sort(F.collect_list(F.struct("_k", "value"))).alias("_heads"))
+def with_next_lines(lines: DataFrame, n: int = 1, where: Column | None = None) -> DataFrame:
+    """The lines matching ``where``, with the following ones as ``next1..nextn``.
+
+    ``line`` counts without gaps within a block. Only the extent of each block
+    and the matching lines are shuffled; the following lines are fetched by
+    their place.
+    """
+    blocks = Window.partitionBy("file").orderBy("block")
+    extent = (
+        lines.groupBy("file", "block")
+        .agg(F.min("line").alias("_first"), F.max("line").alias("_last"))
+        .select(
+            "file",
+            F.col("block").alias("_b"),
+            "_last",
+            F.lead("block").over(blocks).alias("_next_block"),
+            F.lead("_first").over(blocks).alias("_next_first"),
+        )
     )
-    following = Window.partitionBy("file").orderBy("block")
-    after = heads.select("file", "block", *[F.lead("_heads", i).over(following).alias(f"_h{i}") for i in range(1, n + 1)])
-    joined = led.join(after, ["file", "block"], "left")
-    none = F.array().cast("array<struct<_k:int,value:string>>")
-    later = F.flatten(F.array(*[F.coalesce(F.col(f"_h{i}"), none) for i in range(1, n + 1)]))
+    marked = lines if where is None else lines.filter(where)
+    current = marked.withColumns({"_b": F.col("block"), "_l": F.col("line")})
     for i in range(1, n + 1):
-        beyond = F.get(later, (F.lit(i - 1) - F.col("_left")).cast("int"))["value"]
-        joined = joined.withColumn(
-            f"next{i}", F.when(F.col("_left") >= i, F.col(f"_n{i}")).when(F.col("_left") < i, beyond)
+        inside = F.col("_l") < F.col("_last")
+        step = {
+            "_b": F.when(inside, F.col("_b")).otherwise(F.col("_next_block")),
+            "_l": F.when(inside, F.col("_l") + 1).otherwise(F.col("_next_first")),
+        }
+        moved = current.join(extent, ["file", "_b"], "left").withColumns(step).drop("_last", "_next_block", "_next_first")
+        fetched = lines.select(
+            "file", F.col("block").alias("_b"), F.col("line").alias("_l"), F.col("value").alias(f"next{i}")
         )
-    return joined.select(*lines.columns, *[f"next{i}" for i in range(1, n + 1)])
+        current = moved.join(fetched, ["file", "_b", "_l"], "left")
+    return current.select(*lines.columns, *[f"next{i}" for i in range(1, n + 1)])
 
 
 def _position() -> Column:
@@ -120,13 +130,12 @@ def heritability_from_logs(lines: DataFrame, quantitative: Column | None = None)
 
 def _last_fact(lines: DataFrame, marker: str, n: int, fact: Column, default: Column, name: str) -> DataFrame:
     """The fact below the last marker line that yields one, per file."""
-    marked = with_next_lines(lines, n).select(
-        "file", F.when(F.col("value").startswith(marker), fact).alias("_fact"), _position().alias("at")
-    )
-    last = marked.groupBy("file").agg(
-        F.max(F.when(F.col("_fact").isNotNull(), F.struct("at", "_fact"))).alias("_l")
+    below = with_next_lines(lines, n, F.col("value").startswith(marker)).select(
+        "file", fact.alias("_fact"), _position().alias("at")
     )
-    return last.select("file", F.coalesce("_l._fact", default).alias(name))
+    facts = below.groupBy("file").agg(F.max(F.when(F.col("_fact").isNotNull(), F.struct("at", "_fact"))).alias("_l"))
+    files = lines.select("file").distinct()
+    return files.join(facts, "file", "left").select("file", F.coalesce("_l._fact", default).alias(name))
 
 
 def version_from_logs(lines: DataFrame) -> DataFrame:

@@ -79,6 +79,27 @@ def previous_row(
     return joined.select(*df.columns, F.when(same_group, candidate["f"]).alias(name))
 
 
+BINS = 256
+
+
+def _ranked_sets(counts: DataFrame, part: str, outer: Sequence[str]) -> DataFrame:
+    """(outer, part, j, before, inside, n) from counts per (outer, part, level).
+
+    ``inside`` counts the values of set ``level >= j`` in the part, ``before``
+    those in earlier parts and ``n`` all of them.
+    """
+    sets = (
+        counts.select(*outer, part, "_c", F.explode(F.sequence(F.lit(0), F.col("_level"))).alias("j"))
+        .groupBy(*outer, part, "j")
+        .agg(F.sum("_c").alias("inside"))
+    )
+    whole = Window.partitionBy(*outer, "j")
+    earlier = whole.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    return sets.withColumns(
+        {"before": F.coalesce(F.sum("inside").over(earlier), F.lit(0)), "n": F.sum("inside").over(whole)}
+    )
+
+
 def nested_middles(
     df: DataFrame, group: Sequence[str], value: str, level: Column, n_levels: int
 ) -> DataFrame:
@@ -86,45 +107,55 @@ def nested_middles(
 
     Returns ``group``, ``j``, ``n``, ``lower``, ``upper``: the number of values
     and the two middle ones (equal for odd ``n``). NULL and NaN values are left
-    out. Equal values are merged first, then ranked across tiles, so no group is
-    ever gathered in one task.
+    out.
+
+    A first pass counts values per bin of [0, 1] (values outside fall in the end
+    bins), which tells the bins the middles lie in and ships only counts. A
+    second pass ranks the values of those bins alone: equal values are merged,
+    the rest is sorted over tiles, so no group or bin is gathered in one task
+    however the values are spread.
     """
-    steps = range(n_levels)
-    weighted = (
+    binned = F.greatest(F.lit(-1.0), F.least(F.lit(float(BINS)), F.floor(F.col(value) * BINS).cast("double")))
+    narrow = (
         df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-        .select(*group, F.col(value).alias("_v"), level.cast("int").alias("_level"))
+        .select(*group, F.col(value).alias("_v"), level.cast("int").alias("_level"), binned.cast("int").alias("_bin"))
         .filter("_level >= 0")
-        .groupBy(*group, "_v", "_level")
+    )
+    histogram = narrow.groupBy(*group, "_bin", "_level").agg(F.count("*").alias("_c"))
+    # At most two bins per group and set.
+    targets = (
+        _ranked_sets(histogram, "_bin", group)
+        .withColumns({"lo": F.expr("(n + 1) div 2"), "hi": F.expr("n div 2 + 1")})
+        .filter("before < hi AND before + inside >= lo")
+        .select(*group, "_bin", "j", "n", "lo", "hi", F.col("before").alias("below"))
+    )
+    targets = stage(targets)
+    where = [*group, "_bin"]
+    weighted = (
+        narrow.join(targets.select(*where).distinct(), where, "left_semi")
+        .groupBy(*where, "_v", "_level")
         .agg(F.count("*").alias("_n"))
     )
-    tiled = tiles(weighted, [*group, "_v", "_level"])
-    sums = (
-        tiled.groupBy(TILE, *group, "_level")
-        .agg(F.sum("_n").alias("_s"))
-        .select(TILE, *group, "_s", F.explode(F.sequence(F.lit(0), F.col("_level"))).alias("j"))
-        .groupBy(TILE, *group, "j")
-        .agg(F.sum("_s").alias("_s"))
-    )
-    per_set = Window.partitionBy(*group, "j")
-    earlier = per_set.orderBy(TILE).rowsBetween(Window.unboundedPreceding, -1)
-    placed = sums.withColumns(
-        {"before": F.coalesce(F.sum("_s").over(earlier), F.lit(0)), "n": F.sum("_s").over(per_set)}
-    ).withColumns({"lo": F.expr("(n + 1) div 2"), "hi": F.expr("n div 2 + 1")})
-    # At most n_levels small records per tile and group: the sets whose middle
-    # lies in the tile.
+    tiled = tiles(weighted, [*where, "_v", "_level"])
+    sums = tiled.groupBy(TILE, *where, "_level").agg(F.sum("_n").alias("_c"))
     needs = (
-        placed.filter("before < hi AND before + _s >= lo")
-        .groupBy(TILE, *group)
+        _ranked_sets(sums, TILE, where)
+        .drop("n")
+        .join(targets, [*where, "j"])
+        .withColumn("before", F.col("before") + F.col("below"))
+        .filter("before < hi AND before + inside >= lo")
+        .groupBy(TILE, *where)  # at most n_levels small records per tile and bin
         .agg(F.collect_list(F.struct("j", "before", "n", "lo", "hi")).alias("_needs"))
     )
-    running = Window.partitionBy(TILE, *group).orderBy("_v", "_level").rowsBetween(Window.unboundedPreceding, 0)
-    sums_so_far = F.array(*[F.sum(F.when(F.col("_level") >= j, F.col("_n"))).over(running) for j in steps])
+    running = Window.partitionBy(TILE, *where).orderBy("_v", "_level").rowsBetween(Window.unboundedPreceding, 0)
+    sums_so_far = F.array(
+        *[F.sum(F.when(F.col("_level") >= j, F.col("_n"))).over(running) for j in range(n_levels)]
+    )
     # Hash the few needs against the tiles: the tiles are shuffled once, by the
     # keys the window needs as well.
-    ranked = tiled.join(needs.hint("shuffle_hash"), [TILE, *group]).select(
+    ranked = tiled.join(needs.hint("shuffle_hash"), [TILE, *where]).select(
         *group, "_v", "_level", "_n", "_needs", sums_so_far.alias("_so_far")
     )
-
     last = F.col("before") + F.get("_so_far", F.col("j"))
     picks = (
         ranked.select(*group, "_v", "_level", "_n", "_so_far", F.inline("_needs"))
