@@ -22,21 +22,27 @@ from phenoloom.scale import number_rows
 PRODUCT_SCHEMA = "i long, j long, entry double"
 
 
-def _block_product(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-    """Product of the two column blocks of one sample block."""
-    sample_block, left_block, right_block = key
-    columns, position = np.unique(cells["idx"].to_numpy(), return_inverse=True)
-    block_of = np.empty(len(columns), dtype=np.int64)
-    block_of[position] = cells["block"].to_numpy()
-    rows, row_names = pd.factorize(cells["row"])
-    dense = np.zeros((len(row_names), len(columns)))
-    np.add.at(dense, (rows, position), cells["value"].to_numpy())
-    is_left, is_right = block_of == left_block, block_of == right_block
-    product = dense[:, is_left].T @ dense[:, is_right]
-    i, j = np.meshgrid(columns[is_left], columns[is_right], indexing="ij")
-    # Sample block 0 holds a seed for every column and so reports zeros too.
-    keep = np.ones(product.shape, dtype=bool) if sample_block == 0 else product != 0
-    return pd.DataFrame({"i": i[keep], "j": j[keep], "entry": product[keep]})
+def block_product():
+    """The task function. It is made here, as a local function, so that it is
+    shipped whole and workers need not have this package."""
+
+    def product(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+        """Product of the two column blocks of one sample block."""
+        sample_block, left_block, right_block = key
+        columns, position = np.unique(cells["idx"].to_numpy(), return_inverse=True)
+        block_of = np.empty(len(columns), dtype=np.int64)
+        block_of[position] = cells["block"].to_numpy()
+        rows, row_names = pd.factorize(cells["row"])
+        dense = np.zeros((len(row_names), len(columns)))
+        np.add.at(dense, (rows, position), cells["value"].to_numpy())
+        is_left, is_right = block_of == left_block, block_of == right_block
+        sums = dense[:, is_left].T @ dense[:, is_right]
+        i, j = np.meshgrid(columns[is_left], columns[is_right], indexing="ij")
+        # Sample block 0 holds a seed for every column and so reports zeros too.
+        keep = np.ones(sums.shape, dtype=bool) if sample_block == 0 else sums != 0
+        return pd.DataFrame({"i": i[keep], "j": j[keep], "entry": sums[keep]})
+
+    return product
 
 
 def gram(
@@ -76,7 +82,7 @@ def gram(
         )
     )
     partial = paired.groupBy("sample_block", "left_block", "right_block").applyInPandas(
-        _block_product, PRODUCT_SCHEMA
+        block_product(), PRODUCT_SCHEMA
     )
     upper = partial.groupBy("i", "j").agg(F.sum("entry").alias("entry"))
     across = F.floor(F.col("i") / col_block) != F.floor(F.col("j") / col_block)
