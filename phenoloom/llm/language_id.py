@@ -9,6 +9,7 @@ maximisation over the same segmentations.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -51,7 +52,6 @@ class PieceTable:
         keys = np.array([self._hash(p) for p in pieces], dtype=np.uint64)
         self.keys = np.concatenate([[np.uint64(0)], keys])
         self.slots = np.zeros(1 << self.BITS, dtype=np.int32)
-        self.taken = {}
         for number, key in enumerate(keys, 1):
             place = int(key >> np.uint64(64 - self.BITS))
             while self.slots[place]:
@@ -60,7 +60,6 @@ class PieceTable:
         # Most probes a lookup may need: one more than the longest run of full slots.
         full = np.flatnonzero(np.diff(np.concatenate([[0], self.slots > 0, [0]]).astype(np.int8)))
         self.probes = int((full[1::2] - full[::2]).max()) if len(full) else 1
-        del self.taken
 
     @classmethod
     def _hash(cls, piece: str) -> int:
@@ -117,6 +116,7 @@ class SegmentModel:
 
     def __init__(self, pieces: list[str], languages: list[str]):
         self.pieces, self.languages = pieces, languages
+        self.name = uuid.uuid4().hex  # tells models apart in a worker's memory
         self.table = PieceTable(pieces)
         self.prob = np.zeros((len(pieces) + 1, len(languages)))
         self.rest = np.full(len(languages), 1e-7)
@@ -221,8 +221,8 @@ def scorer(model: SegmentModel, memo_words: int = 300_000):
 
     def predict(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         memo = worker_memo("language_words", dict)
-        if memo.get("model") != id(model) or len(memo["row"]) > memo_words:
-            memo.update(model=id(model), row={}, logs=np.zeros((0, n_languages)))
+        if memo.get("model") != model.name or len(memo["row"]) > memo_words:
+            memo.update(model=model.name, row={}, logs=np.zeros((0, n_languages)))
         row = memo["row"]
         listed = [words_of(t) if t else [] for t in texts]
         fresh = list({w for words in listed for w in words if w not in row})
