@@ -2,25 +2,67 @@
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 
 from phenoloom.llm.common import worker_memo
 
+#: Texts of other characters than these are not cut into pieces finer than words.
+UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]")
 #: White space beyond the plain kind; texts with any of it are encoded in one go.
 ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 #: A word with the white space before it, or white space at the end.
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: A space inside a run of white space, so that words and single spaces do not alternate.
+INNER_SPACE = re.compile(r"[ \t\n\r] ")
+#: The splitting patterns of the two vocabularies, for usual characters.
+LETTER = "A-Za-zÀ-ɏ"
+BYTE_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+")
+WORD_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The visible character that byte-level vocabularies write for every byte:
+    itself if it is visible in Latin-1, else the next one from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
+class Recent:
+    """A memory of two generations: when the new one is full, the old one goes."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys that neither has; those of the old generation are taken over."""
+        out = []
+        for key in keys:
+            value = self.old.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self.new[key] = value
+        return out
+
+    def age(self, too_long: int = 64) -> None:
+        if len(self.new) > self.most:
+            self.old = {k: v for k, v in self.new.items() if len(k) <= too_long}
+            self.new = {}
 
 
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
-    The vocabularies used here never form a token across the border between a
+    The vocabularies known here never form a token across the border between a
     visible character and the white space after it, so a text's ids are those of
-    its chunks in order. Chunks repeat, so each is encoded once per worker; the
-    memory is emptied when it holds ``most`` chunks. Strings of special tokens
-    in a text are ordinary text.
+    its words in order, and a word's ids those of the pieces that the
+    vocabulary's own pattern cuts it into. Words and pieces repeat, so a worker
+    encodes them once and remembers about ``most`` pieces. Texts with unusual
+    white space and vocabularies of another build are encoded whole. Strings of
+    special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str, most: int):
@@ -29,29 +71,66 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            built = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.most, self.known = most, {}
+        normal = [n["type"] for n in (built["normalizer"] or {}).get("normalizers", [])]
+        before = built["pre_tokenizer"] or {}
+        self.words = normal == ["NFC", "Replace", "Lowercase"] and before.get("type") == "Sequence"
+        self.bytes = built["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"]
+        self.piece = WORD_PIECE if self.words else BYTE_PIECE
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
+        self.chunks, self.pieces = Recent(most // 4), Recent(most)
+        self.spaced = Recent(most // 4)  # ids of words with one space before them
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _encode_piece(self, piece: str) -> bytes:
+        """A piece that the pattern has cut needs the merges alone."""
+        spelled = piece.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def _learn(self, memory: Recent, keys: set[str], before: str = "") -> None:
+        """Ids of ``before`` and each key, by way of their pieces."""
+        listed, pieces = memory.missing(keys), self.pieces
+        cut = [self.piece.findall(before + c) for c in listed]
+        fresh = pieces.missing({p for c in cut for p in c if p not in pieces.new})
+        pieces.new.update(zip(fresh, map(self._encode_piece, fresh)))
+        for chunk, parts in zip(listed, cut):
+            memory.new[chunk] = b"".join([pieces.new[p] for p in parts])
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > self.most:
-            self.known.clear()
-        known, cut, out = self.known, [], []
+        known, spaced = self.chunks.new, self.spaced.new
+        cut, usual, after_space, other = [], set(), set(), set()
         for text in texts:
-            text = text or ""
-            cut.append([text] if ODD_SPACE.search(text) else CHUNK.findall(text))
-        short = {c for chunks in cut for c in chunks if len(c) <= 64 and c not in known}
-        listed = list(short)
-        known.update(zip(listed, self._encode(listed)))
-        for chunks in cut:
-            try:
-                out.append(b"".join([known[c] for c in chunks]))
-            except KeyError:  # a long chunk: not remembered
-                out.append(b"".join([known[c] if c in known else self._encode([c])[0] for c in chunks]))
+            text, tail = text or "", ()
+            if not (self.words or self.bytes) or ODD_SPACE.search(text):
+                head = [text]
+            elif UNUSUAL.search(text):
+                head = CHUNK.findall(text)
+            elif self.words:  # this vocabulary is of lower case and drops white space
+                head = text.lower().split()
+                usual.update(c for c in head if c not in known)
+            elif INNER_SPACE.search(text):
+                head = CHUNK.findall(text)
+                usual.update(c for c in head if c not in known)
+            else:
+                first, *tail = text.split(" ")
+                head = [first]
+                usual.update(c for c in head if c not in known)
+                after_space.update(c for c in tail if c not in spaced)
+            other.update(c for c in head if c not in known and c not in usual)
+            cut.append((head, tail))
+        self._learn(self.chunks, usual)
+        self._learn(self.spaced, after_space, " ")
+        whole = self.chunks.missing(other)
+        known.update(zip(whole, self._encode(whole)))
+        out = [b"".join([known[c] for c in head] + [spaced[c] for c in tail]) for head, tail in cut]
+        for memory in (self.chunks, self.spaced, self.pieces):
+            memory.age()
         return out
 
 
