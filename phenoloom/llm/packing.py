@@ -71,14 +71,14 @@ class Packer:
                 head, piece = self.cut(piece, n)
                 yield [head]
                 continue
-            demand = np.array([piece[2], 1, piece[3]], dtype=np.int64)
             k = len(self.open)
             room = self.room[:k]
-            fits = (room >= demand).all(axis=1)
             # The last segment of a sequence is kept for a piece that fills it.
-            fits &= (room[:, 1] > 1) | (room[:, 0] == piece[2])
+            last = (room[:, 1] > 1) | (room[:, 0] == piece[2])
+            fits = (room[:, 0] >= piece[2]) & (room[:, 1] > 0) & (room[:, 2] >= piece[3]) & last
             if fits.any():
-                score = (room / self.limits) @ (demand / self.limits)
+                # Both room and demand as shares of the limits.
+                score = room @ (np.array([piece[2], 1, piece[3]]) / (self.limits * self.limits))
                 at = int(np.argmax(np.where(fits, score, -1.0)))
                 yield from self._put(at, piece)
                 return
@@ -87,11 +87,11 @@ class Packer:
                 self.room[k] = self.limits
                 yield from self._put(k, piece)
                 return
-            able = [self.fitting(piece, self.room[i]) for i in range(k)]
+            able = np.minimum(np.minimum(room[:, 0], piece[2]), piece[2] - piece[3] + room[:, 2]) * (room[:, 1] > 0)
             # Filled exactly if that can be, else as full as can be.
-            at = min(range(k), key=lambda i: (self.room[i, 0] - able[i], self.room[i, 0]))
+            at = int(np.argmin((room[:, 0] - able) * (self.limits[0] + 1) + room[:, 0]))
             if able[at]:
-                head, piece = self.cut(piece, able[at])
+                head, piece = self.cut(piece, int(able[at]))
                 yield from self._put(at, head)
             if at < len(self.open) and (not able[at] or (self.room[at] <= 0).any()):
                 yield self._close(at)

@@ -8,14 +8,15 @@ from array import array
 
 from phenoloom.llm.common import worker_memo
 
-#: Texts of other characters than these are not cut into pieces finer than words.
+ODD_ASCII = "\x0b\x0c\x1c\x1d\x1e\x1f"
+#: Texts of other characters than ASCII and these are not cut into pieces finer than words.
 UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]")
 #: White space beyond the plain kind; texts with any of it are encoded in one go.
 ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 #: A word with the white space before it, or white space at the end.
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: A space inside a run of white space, so that words and single spaces do not alternate.
-INNER_SPACE = re.compile(r"[ \t\n\r] ")
+INNER_SPACE = ("  ", "\t ", "\n ", "\r ")
 #: The splitting patterns of the two vocabularies, for usual characters.
 LETTER = "A-Za-zÀ-ɏ"
 BYTE_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+")
@@ -102,38 +103,49 @@ class Encoder:
         for chunk, parts in zip(listed, cut):
             memory.new[chunk] = b"".join([pieces.new[p] for p in parts])
 
+    def _usual(self, text: str) -> bool:
+        if text.isascii():
+            return not any(c in text for c in ODD_ASCII)
+        return not UNUSUAL.search(text)
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         known, spaced = self.chunks.new, self.spaced.new
         cut, usual, after_space, other = [], set(), set(), set()
         for text in texts:
-            text, tail = text or "", ()
-            if not (self.words or self.bytes) or ODD_SPACE.search(text):
-                head = [text]
-            elif UNUSUAL.search(text):
-                head = CHUNK.findall(text)
+            text, tail, wanted = text or "", (), usual
+            if not (self.words or self.bytes):
+                head, wanted = [text], other
+            elif not self._usual(text):
+                head, wanted = [text] if ODD_SPACE.search(text) else CHUNK.findall(text), other
             elif self.words:  # this vocabulary is of lower case and drops white space
                 head = text.lower().split()
-                usual.update(c for c in head if c not in known)
-            elif INNER_SPACE.search(text):
+            elif any(c in text for c in INNER_SPACE):
                 head = CHUNK.findall(text)
-                usual.update(c for c in head if c not in known)
             else:
                 first, *tail = text.split(" ")
                 head = [first]
-                usual.update(c for c in head if c not in known)
-                after_space.update(c for c in tail if c not in spaced)
-            other.update(c for c in head if c not in known and c not in usual)
-            cut.append((head, tail))
+            found = [list(map(known.get, head)), list(map(spaced.get, tail))]
+            if None in found[0]:
+                wanted.update([c for c, ids in zip(head, found[0]) if ids is None])
+            if None in found[1]:
+                after_space.update([c for c, ids in zip(tail, found[1]) if ids is None])
+            cut.append((head, tail, found))
         self._learn(self.chunks, usual)
         self._learn(self.spaced, after_space, " ")
-        whole = self.chunks.missing(other)
+        whole = self.chunks.missing(other - usual)
         known.update(zip(whole, self._encode(whole)))
-        out = [b"".join([known[c] for c in head] + [spaced[c] for c in tail]) for head, tail in cut]
+        out = []
+        for head, tail, (first, second) in cut:
+            if None in first:
+                first = map(known.__getitem__, head)
+            if None in second:
+                second = map(spaced.__getitem__, tail)
+            out.append(b"".join([*first, *second]))
         for memory in (self.chunks, self.spaced, self.pieces):
             memory.age()
         return out
 
 
-def encoder(path: str, most: int = 400_000) -> Encoder:
+def encoder(path: str, most: int = 600_000) -> Encoder:
     """The worker's encoder for the vocabulary in ``path``."""
     return worker_memo(f"encoder_{path}_{most}", lambda: Encoder(path, most))
