@@ -131,8 +131,8 @@ def annotation_group_legacy(term: Column, lof: Column) -> Column:
 
 
 def mac_category(ac: Column, af: Column) -> Column:
-    """Allele-count class up to 20, allele-frequency class above."""
-    rule = F.when(ac <= 5, ac.cast("double"))
+    """Allele-count class up to 20, allele-frequency class above; missing counts have none."""
+    rule = F.when(ac.isNull(), F.lit(None).cast("double")).when(ac <= 5, ac.cast("double"))
     for bound in (10, 20):
         rule = rule.when(ac <= bound, float(bound))
     for bound in (0.001, 0.01, 0.1):

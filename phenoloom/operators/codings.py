@@ -58,12 +58,13 @@ def missing_codings(cols: DataFrame) -> DataFrame:
     return cols.filter("meaning IS NULL AND coding_id IS NOT NULL").select("coding_id").distinct()
 
 
-def full_meanings(codings: DataFrame, separator: str = " | ", max_doublings: int = 7) -> DataFrame:
+def full_meanings(codings: DataFrame, separator: str = " | ") -> DataFrame:
     """Code hierarchy with every meaning prefixed by its ancestors' meanings.
 
     A node's pointer jumps to its ancestor's own pointer each round, so depth d
-    takes log2(d) joins. A parent outside the table ends the chain with a NULL
-    meaning. Nodes unresolved after ``max_doublings`` rounds form a cycle.
+    takes log2(d) joins. A chain that ends at a missing parent, or at one outside
+    the table, gives NULL meanings. A chain is no longer than the table, so nodes
+    still unresolved after as many doublings as that takes form a cycle.
     """
     state = codings.select(
         "*",
@@ -72,11 +73,11 @@ def full_meanings(codings: DataFrame, separator: str = " | ", max_doublings: int
         F.col("meaning").alias("_path"),
     )
     state = stage(state)
-    for _ in range(max_doublings + 1):
+    for _ in range(state.count().bit_length() + 2):
         waiting = state.filter("_up != 0")
         if waiting.isEmpty():
-            final = state.withColumn("meaning", F.col("_path")).drop("_up", "_path")
-            return final
+            # Settled once, here: a chain counts only if it reached a root.
+            return state.withColumn("meaning", F.when(F.col("_up") == 0, F.col("_path"))).drop("_up", "_path")
         target = one_per_key(
             state.select(F.col("node_id").alias("_up"), F.col("_path").alias("_prefix"), F.col("_up").alias("_next")),
             ["_up"],
@@ -86,9 +87,6 @@ def full_meanings(codings: DataFrame, separator: str = " | ", max_doublings: int
             .withColumns({"_path": F.concat("_prefix", F.lit(separator), "_path"), "_up": F.col("_next")})
             .select(state.columns)
         )
-        # A node without a parent value has no meaning once chains are followed.
-        settled = state.filter("_up = 0 OR _up IS NULL").withColumn(
-            "_path", F.when(F.col("_up").isNotNull(), F.col("_path"))
-        )
+        settled = state.filter("_up = 0 OR _up IS NULL")
         state = stage(settled.unionByName(climbed))
-    raise ValueError("code hierarchy has a cycle or is deeper than allowed")
+    raise ValueError("code hierarchy has a cycle")

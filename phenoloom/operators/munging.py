@@ -27,18 +27,20 @@ def case_counts(case: Column, sex: Column) -> list[Column]:
 
 
 def count_cases(frame: MatrixFrame, data_type: str) -> MatrixFrame:
-    """Per-column counts for ICD, categorical or continuous matrices."""
+    """Per-column counts for ICD, categorical or continuous matrices.
+
+    ICD matrices store true cells only, so their controls are all people of the
+    matrix who are not cases.
+    """
     c = F.col
     if data_type == "icd":
         sources = [c(s) for s in ("primary_codes", "secondary_codes", "external_codes", "cause_of_death_codes")]
         anywhere = sources[0] | sources[1] | sources[2] | sources[3]
         counts = [
             F.count_if(sources[0]).alias("n_cases"),
-            F.count_if(~sources[0]).alias("n_controls"),
             F.count_if(sources[1]).alias("n_cases_secondary"),
             F.count_if(sources[3]).alias("n_cases_cause_of_death"),
             F.count_if(anywhere).alias("n_cases_all"),
-            F.count_if(~anywhere).alias("n_controls_all"),
         ]
     elif data_type == "categorical":
         counts = [
@@ -55,6 +57,9 @@ def count_cases(frame: MatrixFrame, data_type: str) -> MatrixFrame:
     counted = frame.entries.groupBy(*key).agg(*counts)
     names = [n for n in counted.columns if n not in key]
     cols = frame.cols.join(counted, key, "left").fillna(0, names)
+    if data_type == "icd":
+        people = frame.rows.agg(F.count("*")).scalar()
+        cols = cols.withColumns({"n_controls": people - c("n_cases"), "n_controls_all": people - c("n_cases_all")})
     if data_type != "icd":
         cols = cols.withColumn("Field", F.coalesce(*[c(f"{s}_pheno.Field") for s in SEXES]))
         if data_type == "categorical":

@@ -337,7 +337,10 @@ def lambda_by_cutoff(
     middles = nested_middles(narrow, pheno_key, "_p", F.col("_reached") - 1, len(bounds)).select(
         *pheno_key, "j", lambda_gc(F.col("lower"), F.col("upper")).alias("lambda_gc")
     )
-    return counts.join(middles, [*pheno_key, "j"], "left").select(
+    # In a struct, missing keys are equal to each other.
+    group = F.struct(*pheno_key)
+    middles = middles.select(group.alias("_g"), "j", "lambda_gc")
+    return counts.withColumn("_g", group).join(middles, ["_g", "j"], "left").select(
         *pheno_key, "cutoff", "lambda_gc", "n_variants", "n_sig"
     )
 

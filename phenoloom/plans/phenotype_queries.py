@@ -300,9 +300,9 @@ _ICD_FLAGS = """icd AS (SELECT user_id, icd_code, bool_or(source = 'primary_code
 @query(
     "A2_count_cases_icd",
     with_views(
-        """SELECT icd_code, count(*) FILTER (WHERE p) AS n_cases, count(*) FILTER (WHERE NOT p) AS n_controls,
+        """SELECT icd_code, count(*) FILTER (WHERE p) AS n_cases, (SELECT count(DISTINCT user_id) FROM codes) - count(*) FILTER (WHERE p) AS n_controls,
         count(*) FILTER (WHERE s) AS n_cases_secondary, count(*) FILTER (WHERE d) AS n_cases_cause_of_death,
-        count(*) AS n_cases_all, 0::BIGINT AS n_controls_all FROM icd GROUP BY 1""",
+        count(*) AS n_cases_all, (SELECT count(DISTINCT user_id) FROM codes) - count(*) AS n_controls_all FROM icd GROUP BY 1""",
         "codes", extra=_ICD_FLAGS,
     ),
 )
@@ -631,12 +631,12 @@ def covid_inputs(t: Tables):
     "A12_any_within_window",
     """SELECT user_id, bool_or(within) AS within FROM (
         SELECT u.user_id, EXISTS (SELECT 1 FROM events s JOIN events p ON s.user_id = p.user_id
-            WHERE s.user_id = u.user_id AND s.event_type = 'signup' AND s.value > 40 AND p.event_type = 'purchase' AND p.value > 40
+            WHERE s.user_id = u.user_id AND s.event_type = 'signup' AND p.event_type = 'purchase'
             AND floor(epoch(p.ts)) >= floor(epoch(s.ts)) AND floor(epoch(p.ts)) < floor(epoch(s.ts)) + 3600) AS within
-        FROM (SELECT DISTINCT user_id FROM events WHERE event_type IN ('signup', 'purchase') AND value > 40) u) GROUP BY 1""",
+        FROM (SELECT DISTINCT user_id FROM events WHERE event_type IN ('signup', 'purchase')) u) GROUP BY 1""",
 )
 def a12(t):
-    timed = t.events.filter("value > 40").withColumn("second", F.unix_seconds(F.col("ts").cast("timestamp")))
+    timed = t.events.withColumn("second", F.unix_seconds(F.col("ts").cast("timestamp")))
     starts = timed.filter("event_type = 'signup'")
     outcomes = timed.filter("event_type = 'purchase'")
     return registry.any_within(starts, outcomes, ["user_id"], "second", "second", 3600)

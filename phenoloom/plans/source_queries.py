@@ -212,11 +212,11 @@ def readers_matrix(t: Tables, path: str) -> MatrixFrame:
 
 @query(
     "K2_export_tsv",
-    with_views("SELECT user_id, pheno, value FROM measures WHERE value > 0", "measures"),
+    with_views("SELECT user_id, pheno, value FROM measures", "measures"),
 )
 def k2(t):
     path = folder(t)
-    writers.write_tsv(t.measures.filter("value > 0"), path)
+    writers.write_tsv(t.measures, path)
     schema = "user_id long, pheno string, value double"
     return t.spark.read.schema(schema).options(sep="\t", header=True, nullValue="NA").csv(path)
 

@@ -85,7 +85,7 @@ def c2(t):
     )
 
 
-_MAC_SQL = """CASE WHEN ac <= 5 THEN ac::DOUBLE WHEN ac <= 10 THEN 10 WHEN ac <= 20 THEN 20
+_MAC_SQL = """CASE WHEN ac IS NULL THEN NULL WHEN ac <= 5 THEN ac::DOUBLE WHEN ac <= 10 THEN 10 WHEN ac <= 20 THEN 20
     WHEN af <= 0.001::DOUBLE THEN 0.001 WHEN af <= 0.01::DOUBLE THEN 0.01 WHEN af <= 0.1::DOUBLE THEN 0.1 ELSE 0.99 END::DOUBLE"""
 
 

@@ -118,9 +118,14 @@ def nested_middles(
     binned = F.greatest(F.lit(-1.0), F.least(F.lit(float(BINS)), F.floor(F.col(value) * BINS).cast("double")))
     narrow = (
         df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-        .select(*group, F.col(value).alias("_v"), level.cast("int").alias("_level"), binned.cast("int").alias("_bin"))
+        # In a struct, missing parts of a key are equal to each other in joins too.
+        .select(
+            F.struct(F.lit(0).alias("_all"), *group).alias("_group"),
+            F.col(value).alias("_v"), level.cast("int").alias("_level"), binned.cast("int").alias("_bin"),
+        )
         .filter("_level >= 0")
     )
+    names, group = group, ["_group"]
     histogram = narrow.groupBy(*group, "_bin", "_level").agg(F.count("*").alias("_c"))
     # At most two bins per group and set.
     targets = (
@@ -172,6 +177,7 @@ def nested_middles(
             F.min(F.when(F.col("is_upper"), F.col("_v"))).alias("upper"),
         )
         .withColumn("upper", F.coalesce("upper", "lower"))
+        .select(*[F.col("_group").getField(g).alias(g) for g in names], "j", "n", "lower", "upper")
     )
 
 

@@ -96,12 +96,14 @@ def test_load_phenotype_metadata(spark, tmp_path):
     assert icd == {"A": "Top", "B": "Top | Sub"}
 
 
-def test_group_file_and_oversized_groups(spark, tmp_path):
+def test_group_file_layouts(spark, tmp_path):
     groups = spark.createDataFrame([("g1", "1:2_A/T"), ("g1", "1:1_A/T"), ("big", "v1"), ("big", "v2"), ("big", "v3" * 20)], "group_id string, variant string")
-    writers.write_group_file(groups, str(tmp_path / "g"), max_line_bytes=20)
-    assert [r.value for r in spark.read.text(str(tmp_path / "g")).collect()] == ["g1\t1:1_A/T\t1:2_A/T"]
-    long = spark.read.csv(str(tmp_path / "g-long"), sep="\t").collect()
-    assert [tuple(r) for r in long] == [("big", "v1"), ("big", "v2"), ("big", "v3" * 20)]
+    writers.write_group_file(groups, str(tmp_path / "g"))
+    lines = {r.value for r in spark.read.text(str(tmp_path / "g")).collect()}
+    assert lines == {"g1\t1:1_A/T\t1:2_A/T", "big\tv1\tv2\t" + "v3" * 20}
+    writers.write_group_file(groups, str(tmp_path / "long"), layout="long")
+    long = spark.read.csv(str(tmp_path / "long"), sep="\t").collect()
+    assert [tuple(r) for r in long] == [("big", "v1"), ("big", "v2"), ("big", "v3" * 20), ("g1", "1:1_A/T"), ("g1", "1:2_A/T")]
 
 
 def test_vcf_text(spark, tmp_path):

@@ -129,7 +129,20 @@ def test_full_meanings_orphans_depth_and_cycles(spark):
     assert got["a"].meaning == "A" and got["o"].meaning is None and got["p"].meaning is None
     loop = rows + [("x", "X", 7, 8, "Y"), ("y", "Y", 8, 7, "Y")]
     with pytest.raises(ValueError):
-        codings.full_meanings(spark.createDataFrame(loop, schema), max_doublings=4)
+        codings.full_meanings(spark.createDataFrame(loop, schema))
+    chain = [(f"n{i}", "m", i, i - 1, "Y") for i in range(1, 5001)]
+    deep = {r.node_id: r.meaning for r in codings.full_meanings(spark.createDataFrame(chain + [("q", "Q", 9000, None, "Y"), ("r", "R", 9001, 9000, "Y")], schema)).collect()}
+    assert deep[5000].count("m") == 5000 and deep[1] == "m" and deep[9000] is None and deep[9001] is None
+    # A missing parent means the same whether or not other chains are in the table.
+    alone = codings.full_meanings(spark.createDataFrame([("q", "Q", 9000, None, "Y"), ("r", "R", 9001, 9000, "Y")], schema))
+    assert {r.meaning for r in alone.collect()} == {None}
+
+
+def test_icd_controls_are_people(spark):
+    rows = [(1, "primary_codes", "A01"), (2, "secondary_codes", "A01"), (3, "primary_codes", "B02"), (4, "primary_codes", "B02")]
+    frame = icd.icd_matrix(spark.createDataFrame(rows, "userId long, source string, icd_code string"))
+    got = {r.icd_code: r for r in munging.count_cases(frame, "icd").cols.collect()}
+    assert (got["A01"].n_cases, got["A01"].n_controls, got["A01"].n_controls_all) == (1, 3, 2)
 
 
 def test_reassignments_keep_own_coding(spark):
