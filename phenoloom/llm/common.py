@@ -42,14 +42,21 @@ def worker_memo(name: str, make: Callable[[], object]):
     return getattr(holder, name)
 
 
-def sample_per_class(ids: DataFrame, classes: Sequence[str], id_col: str, per_class: int) -> DataFrame:
+def sample_per_class(
+    ids: DataFrame, classes: Sequence[str], id_col: str, per_class: int, salts: int = 16
+) -> DataFrame:
     """At most ``per_class`` rows of ``ids`` per class, in order of a hash of the id.
 
-    Only ids and classes are ranked, and Spark keeps just the first rows of a
-    class in each task before the shuffle, so a hot class does not gather.
+    Only ids and classes are ranked: first within salted parts of a class, then
+    what is left of them, at most ``salts * per_class`` rows of a class. So a hot
+    class does not gather.
     """
-    order = Window.partitionBy(*[col(c) for c in classes]).orderBy(F.xxhash64(col(id_col)), col(id_col))
-    return ids.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_class).drop("_rank")
+    hashed = F.xxhash64(col(id_col))
+    named = [col(c) for c in classes]
+    for part in ([F.pmod(hashed, F.lit(salts))], []):
+        order = Window.partitionBy(*named, *part).orderBy(hashed, col(id_col))
+        ids = ids.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_class).drop("_rank")
+    return ids
 
 
 def fetch_sample(docs: DataFrame, ids: DataFrame, id_col: str, most: int) -> DataFrame:
