@@ -17,8 +17,11 @@ DICTIONARY = _schema(FieldID="string", Field="string", Notes="string", Path="str
 
 
 def _by_header(spark: SparkSession, path: str | Sequence[str], sep: str, **options) -> DataFrame:
-    """All columns of a delimited text table as strings, named by its header."""
-    return spark.read.options(header=True, sep=sep, inferSchema=False, **options).csv(path)
+    """All columns of a delimited text table as strings, named by its header.
+
+    Files of one scan must share the header; another one is an error.
+    """
+    return spark.read.options(header=True, sep=sep, inferSchema=False, enforceSchema=False, **options).csv(path)
 
 
 def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
