@@ -1,10 +1,11 @@
-"""Token ids of whole texts by the tokenizers library, remembered per word."""
+"""Token ids of whole texts by the tokenizers library, remembered per piece."""
 
 from __future__ import annotations
 
 import json
 import re
 from array import array
+from collections.abc import Callable
 
 from phenoloom.llm.common import worker_memo
 
@@ -15,8 +16,6 @@ UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]")
 ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 #: A word with the white space before it, or white space at the end.
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-#: A space inside a run of white space, so that words and single spaces do not alternate.
-INNER_SPACE = ("  ", "\t ", "\n ", "\r ")
 #: The splitting patterns of the two vocabularies, for usual characters.
 LETTER = "A-Za-zÀ-ɏ"
 BYTE_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+")
@@ -31,39 +30,36 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
-class Recent:
-    """A memory of two generations: when the new one is full, the old one goes."""
+class Memory(dict):
+    """Values made on first use, in two generations: when the new one has more
+    than ``most``, the old one goes and long keys are forgotten."""
 
-    def __init__(self, most: int):
-        self.most, self.new, self.old = most, {}, {}
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.old = make, most, {}
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """Keys that neither has; those of the old generation are taken over."""
-        out = []
-        for key in keys:
-            value = self.old.get(key)
-            if value is None:
-                out.append(key)
-            else:
-                self.new[key] = value
-        return out
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
 
     def age(self, too_long: int = 64) -> None:
-        if len(self.new) > self.most:
-            self.old = {k: v for k, v in self.new.items() if len(k) <= too_long}
-            self.new = {}
+        if len(self) > self.most:
+            self.old = {k: v for k, v in self.items() if len(k) <= too_long}
+            self.clear()
 
 
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
-    The vocabularies known here never form a token across the border between a
-    visible character and the white space after it, so a text's ids are those of
-    its words in order, and a word's ids those of the pieces that the
-    vocabulary's own pattern cuts it into. Words and pieces repeat, so a worker
-    encodes them once and remembers about ``most`` pieces. Texts with unusual
-    white space and vocabularies of another build are encoded whole. Strings of
-    special tokens in a text are ordinary text.
+    A text's ids are those of the pieces that the vocabulary's own pattern cuts
+    it into. Pieces repeat, so a worker encodes each once and remembers about
+    ``most``. Texts of other characters than the pattern here is exact for are
+    cut into words, since the vocabularies known here never form a token across
+    the border between a visible character and the white space after it. Texts
+    with unusual white space and vocabularies of another build are encoded
+    whole. Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str, most: int):
@@ -82,67 +78,41 @@ class Encoder:
         self.bytes = built["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"]
         self.piece = WORD_PIECE if self.words else BYTE_PIECE
         self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
-        self.chunks, self.pieces = Recent(most // 4), Recent(most)
-        self.spaced = Recent(most // 4)  # ids of words with one space before them
+        self.pieces = Memory(self._encode_piece, most)
+        self.chunks = Memory(self._encode, most // 4)
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def _encode_piece(self, piece: str) -> bytes:
         """A piece that the pattern has cut needs the merges alone."""
-        spelled = piece.encode().decode("latin-1").translate(self.alphabet)
+        if piece.isascii() and piece.isprintable():
+            spelled = piece.replace(" ", self.alphabet[0x20])
+        else:
+            spelled = piece.encode().decode("latin-1").translate(self.alphabet)
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _learn(self, memory: Recent, keys: set[str], before: str = "") -> None:
-        """Ids of ``before`` and each key, by way of their pieces."""
-        listed, pieces = memory.missing(keys), self.pieces
-        cut = [self.piece.findall(before + c) for c in listed]
-        fresh = pieces.missing({p for c in cut for p in c if p not in pieces.new})
-        pieces.new.update(zip(fresh, map(self._encode_piece, fresh)))
-        for chunk, parts in zip(listed, cut):
-            memory.new[chunk] = b"".join([pieces.new[p] for p in parts])
-
     def _usual(self, text: str) -> bool:
         if text.isascii():
             return not any(c in text for c in ODD_ASCII)
         return not UNUSUAL.search(text)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        known, spaced = self.chunks.new, self.spaced.new
-        cut, usual, after_space, other = [], set(), set(), set()
+        out = []
         for text in texts:
-            text, tail, wanted = text or "", (), usual
+            text = text or ""
             if not (self.words or self.bytes):
-                head, wanted = [text], other
-            elif not self._usual(text):
-                head, wanted = [text] if ODD_SPACE.search(text) else CHUNK.findall(text), other
-            elif self.words:  # this vocabulary is of lower case and drops white space
-                head = text.lower().split()
-            elif any(c in text for c in INNER_SPACE):
-                head = CHUNK.findall(text)
+                out.append(self._encode(text))
+            elif self._usual(text):
+                if self.words:  # this vocabulary is of lower case and drops white space
+                    text = text.lower()
+                out.append(b"".join(map(self.pieces.__getitem__, self.piece.findall(text))))
+            elif ODD_SPACE.search(text):
+                out.append(self._encode(text))
             else:
-                first, *tail = text.split(" ")
-                head = [first]
-            found = [list(map(known.get, head)), list(map(spaced.get, tail))]
-            if None in found[0]:
-                wanted.update([c for c, ids in zip(head, found[0]) if ids is None])
-            if None in found[1]:
-                after_space.update([c for c, ids in zip(tail, found[1]) if ids is None])
-            cut.append((head, tail, found))
-        self._learn(self.chunks, usual)
-        self._learn(self.spaced, after_space, " ")
-        whole = self.chunks.missing(other - usual)
-        known.update(zip(whole, self._encode(whole)))
-        out = []
-        for head, tail, (first, second) in cut:
-            if None in first:
-                first = map(known.__getitem__, head)
-            if None in second:
-                second = map(spaced.__getitem__, tail)
-            out.append(b"".join([*first, *second]))
-        for memory in (self.chunks, self.spaced, self.pieces):
-            memory.age()
+                out.append(b"".join(map(self.chunks.__getitem__, CHUNK.findall(text))))
+            self.pieces.age()
+            self.chunks.age()
         return out
 
 
