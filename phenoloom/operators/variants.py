@@ -30,16 +30,30 @@ GENE_GROUPS = {
 def worst_by_gene(variants: DataFrame, key: Sequence[str], canonical_only: bool = True) -> DataFrame:
     """One record per (variant, gene): the most severe transcript consequence.
 
-    ``transcript_consequences`` holds the transcripts; ties go to the
-    alphabetically first transcript record.
+    ``transcript_consequences`` holds all transcripts of a row's variant; ties
+    go to the alphabetically first transcript record.
     """
     rest = [c for c in variants.columns if c not in key and c != "transcript_consequences"]
-    exploded = variants.select(*key, *rest, F.inline("transcript_consequences"))
+    parts = variants.schema["transcript_consequences"].dataType.elementType.fieldNames()
+    fields = [f for f in parts if f not in ("gene_id", "gene_symbol")]
+    transcripts = F.col("transcript_consequences")
     if canonical_only:
-        exploded = exploded.filter("canonical = 1")
-    fields = [c for c in exploded.columns if c not in (*key, *rest, "gene_id", "gene_symbol")]
-    ranked = F.struct(severity_rank(F.col("most_severe_consequence")).alias("_rank"), *fields)
-    worst = exploded.groupBy(*key, *rest, "gene_id", "gene_symbol").agg(F.min(ranked).alias("_worst"))
+        transcripts = F.filter(transcripts, lambda t: t["canonical"] == 1)
+
+    def ranked(t: Column) -> Column:
+        rank = severity_rank(t["most_severe_consequence"]).alias("_rank")
+        return F.struct(t["gene_id"].alias("gene_id"), t["gene_symbol"].alias("gene_symbol"),
+                        F.struct(rank, *[t[f].alias(f) for f in fields]).alias("_worst"))
+
+    def leads(t: Column, i: Column) -> Column:
+        """The first of its gene in sorted order, and so the worst."""
+        before = F.get("_sorted", i - 1)
+        same = [t[c].eqNullSafe(before[c]) for c in ("gene_id", "gene_symbol")]
+        return (i == 0) | ~(same[0] & same[1])
+
+    # Within the row: no shuffle.
+    ordered = variants.select(*key, *rest, F.sort_array(F.transform(transcripts, ranked)).alias("_sorted"))
+    worst = ordered.select(*key, *rest, F.inline(F.filter("_sorted", leads)))
     return worst.select(*key, *rest, "gene_id", "gene_symbol", "_worst._rank", *[f"_worst.{f}" for f in fields])
 
 

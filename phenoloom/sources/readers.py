@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,15 @@ def _by_header(spark: SparkSession, path: str | Sequence[str], sep: str, **optio
     return spark.read.options(header=True, sep=sep, inferSchema=False, enforceSchema=False, **options).csv(path)
 
 
+def files_by_header(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """The files of a text scan by their first line; a string per file reaches the driver."""
+    first = read_lines(spark, path).groupBy("file").agg(F.min_by("value", F.struct("block", "line")).alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file").toLocalIterator():
+        found.setdefault(row["header"], []).append(unquote(row["file"]))
+    return found
+
+
 def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(
         *[df[f"`{c}`"].try_cast(types[c]).alias(c) if c in types else df[f"`{c}`"] for c in df.columns]
@@ -48,28 +59,17 @@ def read_codings(spark: SparkSession, directory: str) -> DataFrame:
     """All ``coding<N>.tsv`` files (or folders of parts) of a folder, keyed
     (coding_id, coding).
 
-    Files with and without the hierarchy columns are told apart by header, one
-    scan each.
+    Files of each header are one scan; a header may be quoted and in any order.
     """
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(directory)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(
-        jvm.org.apache.hadoop.fs.Path(folder, "coding*.tsv")
-    )
-    paths = [f.getPath().toString() for f in files]
-    headers = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
-    # One header line per file: bounded by the number of coding files.
-    shapes: dict[str, list[str]] = {}
-    first = headers.filter(F.col("value").rlike(r"^coding\t")).distinct()
-    for row in first.toLocalIterator():
-        shapes.setdefault(row["value"], []).append(row["path"])
     tables = []
-    for header, group in shapes.items():
-        names = header.split("\t")
+    for header, files in files_by_header(spark, f"{directory}/coding*.tsv").items():
+        names = [n.strip('"') for n in header.split("\t")]
+        if not {"coding", "meaning"} <= set(names):
+            raise ValueError(f"no columns coding and meaning in {files[0]}")
         table = (
             spark.read.schema(_schema(**dict.fromkeys(names, "string")))
-            .options(header=True, sep="\t", quote="", nullValue="NA")
-            .csv(group)
+            .options(header=True, sep="\t", quote='"' if '"' in header else "", nullValue="NA")
+            .csv(files)
             .withColumn("coding_id", F.regexp_extract("_metadata.file_path", r".*coding(\d+)\.tsv", 1).cast("int"))
         )
         tables.append(table)
@@ -158,16 +158,41 @@ GENE_RESULT_TYPES = {
 }
 
 
-def read_variant_results(spark: SparkSession, directory: str, extension: str = "single.txt") -> DataFrame:
-    """Space-separated single-variant results; NA is missing."""
-    raw = _by_header(spark, f"{directory}/*.{extension}", " ", nullValue="NA", quote="")
-    return _typed(raw, VARIANT_RESULT_TYPES)
+def _read_results(
+    spark: SparkSession, directories: str | Sequence[str], extension: str, types: dict[str, str],
+    mixed_headers: bool, path_col: str | None,
+) -> DataFrame:
+    folders = [directories] if isinstance(directories, str) else list(directories)
+    paths = [f"{folder}/*.{extension}" for folder in folders]
+    tables = []
+    for group in files_by_header(spark, paths).values() if mixed_headers else [paths]:
+        raw = _by_header(spark, group, " ", nullValue="NA", quote="")
+        if path_col:
+            raw = raw.select("*", F.col("_metadata.file_path").alias(path_col))
+        tables.append(_typed(raw, types))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def read_gene_results(spark: SparkSession, directory: str, extension: str = "gene.txt") -> DataFrame:
-    """Space-separated gene results; NA is missing."""
-    raw = _by_header(spark, f"{directory}/*.{extension}", " ", nullValue="NA", quote="")
-    return _typed(raw, GENE_RESULT_TYPES)
+def read_variant_results(
+    spark: SparkSession, directories: str | Sequence[str], extension: str = "single.txt",
+    mixed_headers: bool = False, path_col: str | None = None,
+) -> DataFrame:
+    """Space-separated single-variant results of one or many directories; NA is missing.
+
+    The files share one header, and another one is an error. With
+    ``mixed_headers`` they are grouped by header first, at the price of one more
+    pass over the text; columns that a file lacks are NULL. ``path_col`` names a
+    column for the file, from which keys can be taken.
+    """
+    return _read_results(spark, directories, extension, VARIANT_RESULT_TYPES, mixed_headers, path_col)
+
+
+def read_gene_results(
+    spark: SparkSession, directories: str | Sequence[str], extension: str = "gene.txt",
+    mixed_headers: bool = False, path_col: str | None = None,
+) -> DataFrame:
+    """Space-separated gene results; NA is missing. See :func:`read_variant_results`."""
+    return _read_results(spark, directories, extension, GENE_RESULT_TYPES, mixed_headers, path_col)
 
 
 GTF = _schema(seqname="string", source="string", feature="string", start="int", end="int", score="string",

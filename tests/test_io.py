@@ -96,6 +96,29 @@ def test_load_phenotype_metadata(spark, tmp_path):
     assert icd == {"A": "Top", "B": "Top | Sub"}
 
 
+def test_codings_by_header(spark, tmp_path):
+    (tmp_path / "coding1.tsv").write_text("coding\tmeaning\ncoding\tthe word itself\n")
+    (tmp_path / "coding2.tsv").write_text('"coding"\t"meaning"\n"a"\t"quoted"\n')
+    (tmp_path / "coding3.tsv").write_text("meaning\tcoding\nturned\tb\n")
+    got = {(r.coding_id, r.coding, r.meaning) for r in readers.read_codings(spark, str(tmp_path)).collect()}
+    assert got == {(1, "coding", "the word itself"), (2, "a", "quoted"), (3, "b", "turned")}
+    (tmp_path / "coding4.tsv").write_text("code\tmeaning\n1\tx\n")
+    with pytest.raises(ValueError, match="coding4.tsv"):
+        readers.read_codings(spark, str(tmp_path))
+
+
+def test_results_of_mixed_headers(spark, tmp_path):
+    for name, text in {"one": "markerID p.value AC\n1:1_A/T 0.5 7\n", "two b": "markerID AC p.value\n1:2_A/T 9 NA\n", "three": "AC markerID\n3 1:3_A/T\n"}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.single.txt").write_text(text)
+    folders = [str(tmp_path / name) for name in ("one", "two b", "three")]
+    got = readers.read_variant_results(spark, folders, mixed_headers=True, path_col="path").collect()
+    assert {(r.markerID, r["p.value"], r.AC) for r in got} == {("1:1_A/T", 0.5, 7), ("1:2_A/T", None, 9), ("1:3_A/T", None, 3)}
+    assert {r.path.split("/")[-2] for r in got} == {"one", "two%20b", "three"}
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_variant_results(spark, folders[:2]).collect()
+
+
 def test_group_file_layouts(spark, tmp_path):
     groups = spark.createDataFrame([("g1", "1:2_A/T"), ("g1", "1:1_A/T"), ("big", "v1"), ("big", "v2"), ("big", "v3" * 20)], "group_id string, variant string")
     writers.write_group_file(groups, str(tmp_path / "g"))

@@ -138,3 +138,17 @@ def test_thin_points_keeps_one_per_cell(spark):
     df = spark.createDataFrame([(float(i % 10), float(i // 10), i) for i in range(100)] + [(float("nan"), 1.0, 999)], "x double, y double, i int")
     kept = variants.thin_points(df, "x", "y", ["i"], n_divisions=5).collect()
     assert len(kept) == 25 and min(r.i for r in kept) == 0
+
+
+def test_worst_by_gene_stays_in_the_row(spark):
+    part = "gene_id string, gene_symbol string, most_severe_consequence string, lof string, canonical int, transcript_id string"
+    rows = [
+        ("1", 5, [("G1", "a", "synonymous_variant", None, 1, "t1"), ("G1", "a", "stop_gained", "HC", 1, "t2"),
+                  ("G1", "a", "transcript_ablation", None, 0, "t3"), (None, None, "intron_variant", None, 1, "t4"),
+                  (None, None, "stop_gained", None, 1, "t5"), ("G2", "b", "made_up", None, 1, "t7"), ("G2", "b", "made_up", None, 1, "t6")]),
+        ("1", 6, []), ("1", 7, None),
+    ]
+    df = spark.createDataFrame(rows, f"contig string, pos int, transcript_consequences array<struct<{part.replace(' string', ':string').replace(' int', ':int')}>>")
+    worst = variants.worst_by_gene(df, ["contig", "pos"])
+    assert {(r.pos, r.gene_id, r.transcript_id) for r in worst.collect()} == {(5, "G1", "t2"), (5, None, "t5"), (5, "G2", "t6")}
+    assert "Exchange" not in worst._jdf.queryExecution().executedPlan().toString()
