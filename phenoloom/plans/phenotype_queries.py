@@ -586,11 +586,11 @@ def a11(t):
 _COVID_SQL = """tests AS (
         SELECT c_custkey AS eid, bool_or(o_orderpriority = '1-URGENT') AS origin, bool_or(o_orderstatus = 'F') AS result1,
                bool_or(o_orderpriority = '5-LOW') AS inpatient1
-        FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 3 > 0 GROUP BY 1),
+        FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0 GROUP BY 1),
     visits AS (SELECT user_id AS eid, event_id, date_trunc('day', ts) AS day, event_type FROM events
         WHERE event_type IN ('signup', 'view')),
     diagnosed AS (SELECT DISTINCT eid, day FROM visits WHERE event_type = 'signup' AND event_id % 7 = 0),
-    died AS (SELECT DISTINCT user_id AS eid, date_trunc('day', ts) AS day FROM events WHERE event_type = 'purchase' AND event_id % 40 = 0),
+    died AS (SELECT DISTINCT user_id AS eid, date_trunc('day', ts) AS day FROM events WHERE event_type = 'purchase'),
     people AS (SELECT eid FROM visits UNION SELECT eid FROM died),
     register AS (SELECT eid,
         EXISTS (SELECT 1 FROM diagnosed d JOIN visits v ON d.eid = v.eid
@@ -603,8 +603,8 @@ _COVID_SQL = """tests AS (
 
 
 def covid_inputs(t: Tables):
-    tests = t.orders.filter("o_custkey % 3 > 0").join(
-        t.customer.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi"
+    tests = t.orders.join(
+        t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi"
     ).select(
         F.col("o_custkey").alias("eid"),
         (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("origin"),
@@ -621,7 +621,7 @@ def covid_inputs(t: Tables):
         F.col("user_id").alias("eid"), F.col("event_id").alias("ins_index"),
         F.when((F.col("event_type") == "signup") & (F.col("event_id") % 7 == 0), "U071").otherwise("J45").alias("diag_icd10"),
     )
-    deaths = t.events.filter("event_type = 'purchase' AND event_id % 40 = 0").select(
+    deaths = t.events.filter("event_type = 'purchase'").select(
         F.col("user_id").alias("eid"), day.alias("date_of_death")
     )
     return tests, hes_main, hes_diag, deaths
