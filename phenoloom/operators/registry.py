@@ -92,15 +92,17 @@ def is_first_occurrence_field(name: str, _type: T.DataType | None = None) -> boo
 
 def first_occurrence(wide: DataFrame, births: DataFrame, dictionary: DataFrame | None = None) -> MatrixFrame:
     """Seconds from birth to first occurrence per person and diagnosis field."""
-    frame = select_fields(wide, ["eid"], is_first_occurrence_field, "string", dictionary=dictionary)
-    dated = lookup(frame.entries, births.select("eid", "date_of_birth", "month_of_birth"), ["eid"])
+    born = ["date_of_birth", "month_of_birth"]
+    # People meet their birth dates once, before their fields become rows.
+    dated = lookup(wide.drop(*born), births.select("eid", *born), ["eid"])
+    frame = select_fields(dated, ["eid", *born], is_first_occurrence_field, "string", dictionary=dictionary)
     value = first_occurrence_seconds(F.col("value"), F.col("date_of_birth"), F.col("month_of_birth"))
     key = pheno_key("icd_first_occurrence", F.col("phenocode"))
     rest = [c for c in frame.cols.columns if c != "phenocode"]
     return MatrixFrame(
-        frame.rows,
+        wide.select("eid"),
         frame.cols.select(*key, *rest),
-        dated.select("eid", *key, value.alias("value")),
+        frame.entries.select("eid", *key, value.alias("value")),
         ["eid"],
         PHENO_KEY,
     )

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from phenoloom.functions.genome import split_locus_alleles
 from phenoloom.functions.normal import lambda_gc
 from phenoloom.model import PHENO_GWAS, PHENO_KEY, MatrixFrame
-from phenoloom.scale import lookup, nested_middles, one_per_key
+from phenoloom.scale import level_histogram, lookup, nested_middles, one_per_key
 
 # Cutoffs and thresholds of the quality control.
 AC_CUTOFFS = [0, 1, 2, 3, 4, 5, 10, 20, 50, 100]
@@ -68,9 +68,9 @@ def load_variant_results(
         *kept_fields,
         scan["`p.value`"].alias("Pvalue"),
     )
-    kept = one_per_key(keyed, [*VARIANT, *PHENO_KEY])
-    described = with_metadata(kept, metadata).withColumn("log_pvalue", F.lit(log_pvalue))
-    return lookup(described, annotation, VARIANT, unique=True)
+    # One exchange by variant serves the deduplication and the annotation.
+    described = with_metadata(keyed, metadata).withColumn("log_pvalue", F.lit(log_pvalue)).repartition(*VARIANT)
+    return lookup(one_per_key(described, [*VARIANT, *PHENO_KEY]), annotation, VARIANT, unique=True)
 
 
 def load_gene_results(
@@ -310,7 +310,9 @@ def lambda_by_cutoff(
     """λ, number of variants and of significant ones among the entries whose
     ``measure`` reaches each cutoff; one record per phenotype and cutoff.
 
-    Counts include entries without a p-value; λ does not.
+    Counts include entries without a p-value; λ does not. Two passes over the
+    entries: one histogram gives the counts and the bins of the middles, the
+    second ranks the values of those bins.
     """
     bounds = [float(c) for c in sorted(cutoffs)]
     x = F.col(measure)
@@ -321,20 +323,23 @@ def lambda_by_cutoff(
     p = F.col(pvalue)
     narrow = entries.select(*pheno_key, p.alias("_p"), reached.alias("_reached"))
     hit = (F.col("_p") < threshold) & ~F.isnan("_p")
-    # One small record per phenotype and number of cutoffs reached, spread over
-    # the cutoffs afterwards.
+    level = F.col("_reached") - 1
+    histogram = level_histogram(narrow, pheno_key, "_p", level, F.count_if(hit).alias("_s"))
+    # Small records, spread over the cutoffs only here.
     cutoff = F.posexplode(F.array(*[F.lit(c) for c in bounds])).alias("j", "cutoff")
+    within = F.col("_level") >= F.col("j")
     counts = (
-        narrow.groupBy(*pheno_key, "_reached")
-        .agg(F.count("*").alias("_n"), F.count_if(hit).alias("_s"))
-        .select(*pheno_key, "_reached", "_n", "_s", cutoff)
-        .groupBy(*pheno_key, "j", "cutoff")
+        histogram.groupBy("_group", "_level")
+        .agg(F.sum("_c").alias("_n"), F.sum("_s").alias("_s"))
+        .select("_group", "_level", "_n", "_s", cutoff)
+        .groupBy("_group", "j", "cutoff")
         .agg(
-            F.sum(F.when(F.col("_reached") > F.col("j"), F.col("_n")).otherwise(0)).alias("n_variants"),
-            F.sum(F.when(F.col("_reached") > F.col("j"), F.col("_s")).otherwise(0)).alias("n_sig"),
+            F.sum(F.when(within, F.col("_n")).otherwise(0)).alias("n_variants"),
+            F.sum(F.when(within, F.col("_s")).otherwise(0)).alias("n_sig"),
         )
+        .select(*[F.col("_group").getField(k).alias(k) for k in pheno_key], "j", "cutoff", "n_variants", "n_sig")
     )
-    middles = nested_middles(narrow, pheno_key, "_p", F.col("_reached") - 1, len(bounds)).select(
+    middles = nested_middles(narrow, pheno_key, "_p", level, len(bounds), histogram).select(
         *pheno_key, "j", lambda_gc(F.col("lower"), F.col("upper")).alias("lambda_gc")
     )
     # In a struct, missing keys are equal to each other.

@@ -150,8 +150,9 @@ def _lambda_sql(key: str, source: str, measure: str, cutoffs, threshold: float,
     sorted AS (SELECT {key}, cutoff, count(*) AS n, count(*) FILTER (WHERE p < {threshold!r}::DOUBLE) AS sig,
         list_sort(list(p) FILTER (WHERE p IS NOT NULL)) AS ps FROM reached GROUP BY {key}, cutoff),
     middles AS (SELECT *, ps[(len(ps) + 1) // 2] AS lo, ps[len(ps) // 2 + 1] AS hi FROM sorted)
+, every_cutoff AS (SELECT DISTINCT {key}, c::DOUBLE AS cutoff FROM {source}, (VALUES {values}) cutoffs(c))
     SELECT {key}, cutoff AS {cutoff}, round(({_chi2_sql('lo')} + {_chi2_sql('hi')}) / 2 / {normal.MEDIAN_CHI2!r}::DOUBLE, 6) AS {lam},
-        n AS {n}, sig AS {sig} FROM middles"""
+        coalesce(n, 0) AS {n}, coalesce(sig, 0) AS {sig} FROM every_cutoff LEFT JOIN middles USING ({key}, cutoff)"""
 
 
 _AF_CUTOFFS = [0, 0.01, 0.02, 0.05, 0.08, 0.1]
@@ -194,11 +195,11 @@ _LAMBDA_STATS = """stats AS (SELECT phenotype AS phenocode, sex AS pheno_sex, ex
         _lambda_sql("phenocode, pheno_sex", "stats", "ac", results.AC_CUTOFFS, results.SIGNIFICANT,
                     ("ac", "lambda_gc_by_case_ac", "n_variants_by_case_ac", "n_sig_by_case_ac")),
         "sumstats", extra=_LAMBDA_STATS,
-    ) + " WHERE cutoff < 100",
+    ),
 )
 def a17(t):
-    table = results.lambda_by_frequency(*_lambda_inputs(t), by="ac").filter("ac < 100")
-    return table.drop("trait_type", "coding", "modifier").filter("n_variants_by_case_ac > 0").withColumn(
+    table = results.lambda_by_frequency(*_lambda_inputs(t), by="ac")
+    return table.drop("trait_type", "coding", "modifier").withColumn(
         "lambda_gc_by_case_ac", F.round("lambda_gc_by_case_ac", 6)
     )
 
@@ -214,7 +215,7 @@ def a17(t):
 def m4(t):
     table = results.lambda_by_frequency(*_lambda_inputs(t), by="af")
     packed = results.pack_by_cutoff(table, PHENO_KEY, "af")
-    long = results.explode_by_cutoff(packed, PHENO_KEY, "af").filter("n_variants_by_af > 0")
+    long = results.explode_by_cutoff(packed, PHENO_KEY, "af")
     return long.drop("trait_type", "coding", "modifier").withColumn("lambda_gc_by_af", F.round("lambda_gc_by_af", 6))
 
 

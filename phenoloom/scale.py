@@ -100,8 +100,29 @@ def _ranked_sets(counts: DataFrame, part: str, outer: Sequence[str]) -> DataFram
     )
 
 
+def level_histogram(df: DataFrame, group: Sequence[str], value: str, level: Column, *more: Column) -> DataFrame:
+    """Rows per group, level and bin of [0, 1], with the aggregates ``more``; staged.
+
+    Values outside fall in the end bins, NULL and NaN in the bin NULL.
+    """
+    return stage(
+        df.select("*", *_histogram_key(group, value, level)).groupBy("_group", "_bin", "_level").agg(F.count("*").alias("_c"), *more)
+    )
+
+
+def _histogram_key(group: Sequence[str], value: str, level: Column) -> list[Column]:
+    # In a struct, missing parts of a key are equal to each other in joins too.
+    v = F.col(value)
+    binned = F.greatest(F.lit(-1.0), F.least(F.lit(float(BINS)), F.floor(v * BINS).cast("double"))).cast("int")
+    return [
+        F.struct(F.lit(0).alias("_all"), *group).alias("_group"),
+        F.when(v.isNotNull() & ~F.isnan(v), binned).alias("_bin"),
+        level.cast("int").alias("_level"),
+    ]
+
+
 def nested_middles(
-    df: DataFrame, group: Sequence[str], value: str, level: Column, n_levels: int
+    df: DataFrame, group: Sequence[str], value: str, level: Column, n_levels: int, histogram: DataFrame | None = None
 ) -> DataFrame:
     """Exact middle values of the nested subsets ``level >= j`` of every group.
 
@@ -109,24 +130,18 @@ def nested_middles(
     and the two middle ones (equal for odd ``n``). NULL and NaN values are left
     out.
 
-    A first pass counts values per bin of [0, 1] (values outside fall in the end
-    bins), which tells the bins the middles lie in and ships only counts. A
-    second pass ranks the values of those bins alone: equal values are merged,
+    A first pass (``level_histogram``; give its result if there is one) counts
+    values per bin, which tells the bins the middles lie in and ships only
+    counts. A second pass ranks the values of those bins alone: equal values are merged,
     the rest is sorted over tiles, so no group or bin is gathered in one task
     however the values are spread.
     """
-    binned = F.greatest(F.lit(-1.0), F.least(F.lit(float(BINS)), F.floor(F.col(value) * BINS).cast("double")))
-    narrow = (
-        df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-        # In a struct, missing parts of a key are equal to each other in joins too.
-        .select(
-            F.struct(F.lit(0).alias("_all"), *group).alias("_group"),
-            F.col(value).alias("_v"), level.cast("int").alias("_level"), binned.cast("int").alias("_bin"),
-        )
-        .filter("_level >= 0")
-    )
+    if histogram is None:
+        histogram = level_histogram(df, group, value, level)
+    used = "_bin IS NOT NULL AND _level >= 0"
+    narrow = df.select(F.col(value).alias("_v"), *_histogram_key(group, value, level)).filter(used)
     names, group = group, ["_group"]
-    histogram = narrow.groupBy(*group, "_bin", "_level").agg(F.count("*").alias("_c"))
+    histogram = histogram.filter(used)
     # At most two bins per group and set.
     targets = (
         _ranked_sets(histogram, "_bin", group)
@@ -229,7 +244,9 @@ def every_cell(
         .select(*rows.columns, F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
         .repartition(n_partitions, *row_key, "_block")
         .join(filled, [*row_key, "_block"], "left")
-        .join(packs, "_block", "left")
+        # There are few blocks, so rows meet copies of a block, spread by a salt.
+        .withColumn("_salt", F.pmod(F.xxhash64(*row_key), F.lit(n_partitions)).cast("int"))
+        .join(packs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_partitions - 1)))), ["_block", "_salt"], "left")
     )
     kind = filled.schema["_cells"].dataType
     present = F.coalesce("_cells", F.array().cast(kind))

@@ -136,7 +136,17 @@ def test_vcf_text(spark, tmp_path):
     body = [r.value.split("\t") for r in spark.read.text(str(tmp_path / "v/body")).collect()]
     assert sorted(body) == sorted([["1", "4", "1:4_A/T", "A", "T", ".", ".", ".", "GT", "./.", "1"], ["1", "5", "1:5_A/C", "A", "C,G", ".", ".", ".", "GT", "0/0", "0/2"]])
     header = [r.value for r in spark.read.text(str(tmp_path / "v/header")).collect()]
-    assert header[0] == "##fileformat=VCFv4.2" and header[1].endswith("FORMAT\ta\tb")
+    assert header[0] == "##fileformat=VCFv4.2" and header[1].startswith("##FORMAT=<ID=GT,") and header[2].endswith("FORMAT\ta\tb")
+
+
+def test_vcf_genome_order(spark, tmp_path):
+    contigs = ["chr10", "chrX", "chr2", "chrM", "alt", "chr1"]
+    g = spark.createDataFrame(
+        [(c, 1, ["A", "C"], "a", [0, 1]) for c in contigs], "contig string, pos int, alleles array<string>, sample string, GT array<int>"
+    )
+    writers.write_vcf(g, g.select("sample").distinct(), str(tmp_path / "v"))
+    parts = sorted((tmp_path / "v/body").glob("part-*"))
+    assert [line.split("\t")[0] for p in parts for line in p.read_text().splitlines()] == ["chr1", "chr2", "chr10", "chrX", "chrM", "alt"]
 
 
 @pytest.mark.parametrize("block", [1, 2, 1024])
