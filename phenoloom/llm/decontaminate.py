@@ -1,4 +1,4 @@
-"""Benchmark passages in training documents: rare word n-grams find them, local
+"""Benchmark passages in training documents: shared word n-grams find them, local
 alignment measures them."""
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,11 +122,13 @@ def find_leaks(
     """(id, item, similarity, n_item_words, end_word): documents that hold a
     benchmark item, whole or edited.
 
-    Words are lower-cased runs of letters and digits. Of an item's n-grams that
-    the documents contain, the rarer half by document frequency (ties included)
-    are its seeds. Around every seed of a document, a Smith-Waterman alignment
-    of words is scored as a share of the item's perfect score; pairs of at least
-    ``min_similarity`` come back with their best alignment.
+    Words are lower-cased runs of letters and digits. All n-grams of an item are
+    its seeds, however often the documents have them: their frequency tells how
+    many copies of the item there are, not which grams an edit has kept. Around
+    every seed of a document, a Smith-Waterman alignment of words is scored as a
+    share of the item's perfect score; pairs of at least ``min_similarity`` come
+    back with their best alignment. A copy without any n-gram of the item is not
+    found.
 
     Null and empty texts and items match nothing, and so do items of fewer than
     ``n`` words, which cannot be told from chance. Rows with the same id are one
@@ -139,19 +141,7 @@ def find_leaks(
     """
     own = stage(_grams(items, item_col, item_text_col, n, None).withColumnRenamed("_id", "item"))
     hits = stage(_grams(docs, id_col, text_col, n, _filter_of(own)).select(F.struct("_id").alias("doc"), "gram", "at"))
-    grams = stage(own.select("gram").distinct())
-    frequency = (
-        hits.join(grams, "gram", "left_semi").groupBy("gram", "doc").agg(F.lit(1).alias("one"))
-        .groupBy("gram").agg(F.count("*").alias("df"))
-    )
-    by_item = Window.partitionBy("item")
-    seeds = (
-        own.join(frequency, "gram")
-        .withColumns({"rank": F.rank().over(by_item.orderBy("df")), "all": F.count("*").over(by_item)})
-        .filter("2 * rank <= all + 1")
-        .select(F.struct("item").alias("item"), "gram", F.col("at").alias("item_at"), "n_words")
-    )
-    seeds = stage(seeds)
+    seeds = own.select(F.struct("item").alias("item"), "gram", F.col("at").alias("item_at"), "n_words")
     # Windows of an item's length, in steps of half of it, with slack on both sides.
     step = F.ceil((F.col("n_words") + 8) / 2).cast("int")
     spots = (

@@ -134,6 +134,28 @@ def test_edited_copies(spark, make):
     assert decontaminate.op5_decontaminate(make(rows), items.limit(0)).count() == 0
 
 
+def test_whole_copy_hides_no_edited_one(spark, make):
+    rng = np.random.default_rng(8)
+    item = [f"item{i}" for i in range(40)]
+    grams = {tuple(item[i : i + 3]) for i in range(38)}
+    fifth = ["changed" if i % 5 == 4 else w for i, w in enumerate(item)]
+    copies = [fifth] + [["changed" if x < share else w for w, x in zip(item, rng.random(40))] for share in (0.2, 0.25, 0.3) for _ in range(60)]
+    want = {
+        i for i, c in enumerate(copies)
+        if brute_alignment(item, c) >= 40 and any(tuple(c[k : k + 3]) in grams for k in range(38))
+    }
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for i in sorted(want):  # each beside one whole copy, and all together beside many
+        assert 0.5 <= brute_alignment(item, copies[i]) / 80 < 1
+    for k in sorted(want)[:3]:
+        found = decontaminate.op5_decontaminate(make([(-1, " ".join(item)), (k, " ".join(copies[k]))]), items)
+        assert {r["doc_id"] for r in found.collect()} == {-1, k}
+    rows = [(-1 - i, " ".join(item)) for i in range(100)] + [(i, " ".join(c)) for i, c in enumerate(copies)]
+    found = {r["doc_id"]: r["similarity"] for r in decontaminate.op5_decontaminate(make(rows), items).collect()}
+    assert {i for i in found if i >= 0} == want and 0 in want and len(want) > 100
+    assert all(found[i] == brute_alignment(item, copies[i]) / 80 for i in want)
+
+
 def test_pipeline(spark, documents):
     folder = "/root/testdata/sf0.001"
     packed = corpus_pipeline.run(spark, folder).collect()
