@@ -83,6 +83,23 @@ def test_network_learns_and_keeps_recall():
     assert secret_scan.candidates("key 9233A8ECF7C5B09FE594") == [(4, 24)]
 
 
+def test_recall_rules_the_threshold(make):
+    network = secret_scan.CharNetwork()
+    network.predict = lambda x: x[:, 0] / 100
+    x = np.arange(20)[:, None]
+    assert network.calibrate(x, np.ones(20), 0.95).threshold == 0.01
+    part = secret_scan._fit_part(np.array([0.0] * 30 + [1.0] * 4))  # the last examples are not all of one label
+    assert part.sum() == 25 and part[30:].sum() == 3
+
+
+def test_rare_secrets_are_sampled(make):
+    rng = np.random.default_rng(2)
+    rows = [(i, f"mail{i}.example-host.com says nothing") for i in range(3000)]
+    rows += [(3000 + i, "set token = \"" + "".join(rng.choice(list("0123456789abcdef"), 32)) + "\" and go") for i in range(8)]
+    network = secret_scan.train(make(rows), "text", 40, 0.95)
+    assert network is not None and network.threshold < 1
+
+
 def brute_alignment(a, b):
     best, row = 0, [0] * (len(b) + 1)
     for x in a:
