@@ -100,6 +100,13 @@ def test_rare_secrets_are_sampled(make):
     assert network is not None and network.threshold < 1
 
 
+def test_runs_beside_base_findings_are_scored():
+    network = secret_scan.CharNetwork()
+    network.predict, network.threshold = lambda x: np.ones(len(x)), 0.5
+    text = "x xoxb-1234567890123456-AbCdEfGhIjKl token=abcdef0123456789abcdef y"
+    assert secret_scan.findings(text, network) == [("learned", 2, 36), ("hex", 7, 23), ("assign", 37, 65), ("hex", 43, 65)]
+
+
 def brute_alignment(a, b):
     best, row = 0, [0] * (len(b) + 1)
     for x in a:
