@@ -85,7 +85,7 @@ def test_network_learns_and_keeps_recall():
 
 def test_recall_rules_the_threshold(make):
     network = secret_scan.CharNetwork()
-    network.predict = lambda x: x[:, 0] / 100
+    network.predict = lambda x: np.array(x)[:, 0] / 100
     x = np.arange(20)[:, None]
     assert network.calibrate(x, np.ones(20), 0.95).threshold == 0.01
     part = secret_scan._fit_part(np.array([0.0] * 30 + [1.0] * 4))  # the last examples are not all of one label
@@ -107,6 +107,20 @@ def test_runs_beside_base_findings_are_scored():
     assert secret_scan.findings(text, network) == [("learned", 2, 36), ("hex", 7, 23), ("assign", 37, 65), ("hex", 43, 65)]
 
 
+def test_middle_of_a_long_run_is_seen():
+    network = secret_scan.CharNetwork()  # scores the share of digits in the field
+    network._scores = lambda fields: ((fields >= ord("0") - 30) & (fields <= ord("9") - 30))[:, 24:64].mean(axis=1)
+    network.threshold = 0.4
+    run = "static/assets/some/more/Module/4901827-30594817-2093847-120/and/more/static/assets/index.min.js"
+    for text, kinds in ((run, ["learned"]), (run.replace("30594817", "vendor/styles"), [])):
+        assert [k for k, *_ in secret_scan.findings(f"see {text} there", network)] == kinds
+    network = secret_scan.CharNetwork()
+    fields = secret_scan.encode(run, 0, len(run))
+    seen = ["".join(chr(c + 30) for c in row[24:64] if c) for row in fields]
+    assert all(any(run[i : i + 20] in s for s in seen) for i in range(len(run) - 19))
+    assert np.isclose(network.predict([fields])[0], max(network.predict(fields[:, None])))
+
+
 def brute_alignment(a, b):
     best, row = 0, [0] * (len(b) + 1)
     for x in a:
