@@ -32,13 +32,13 @@ def words_of(text: str) -> list[str]:
     return re.findall(r"[^\W\d_]+", text.lower())
 
 
-def read_vocabulary(path: str, longest: int = 8) -> list[str]:
-    """Pieces of letters (and the mark of a word's start) of up to ``longest`` characters."""
+def read_vocabulary(path: str) -> list[str]:
+    """All pieces of letters, and the mark of a word's start."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    return sorted({p for p in pieces if len(p) <= longest and p.replace(WORD_START, "", 1).isalpha() or p == WORD_START})
+    return sorted({p for p in pieces if p.replace(WORD_START, "", 1).isalpha() or p == WORD_START})
 
 
 class PieceTable:
@@ -112,20 +112,28 @@ def parts(word: str) -> list[str]:
 
 
 class SegmentModel:
-    """Piece probabilities per language; ``rest`` stands for a letter without a piece."""
+    """Piece probabilities per language.
+
+    A letter that is in no piece is spelled by the byte pieces of its UTF-8 form.
+    All segmentations of a word share these bytes, so their probabilities are
+    factored out of the sums, where such a letter counts as 1."""
 
     def __init__(self, pieces: list[str], languages: list[str]):
         self.pieces, self.languages = pieces, languages
         self.name = uuid.uuid4().hex  # tells models apart in a worker's memory
         self.table = PieceTable(pieces)
         self.prob = np.zeros((len(pieces) + 1, len(languages)))
-        self.rest = np.full(len(languages), 1e-7)
+        self.byte_log = np.full((256, len(languages)), np.log(1 / 256))
+
+    @staticmethod
+    def _bytes(code: int) -> list[int]:
+        return list(chr(code).encode("utf-8", "surrogatepass"))
 
     def _numbers(self, words: list[str]):
         codes, sizes = code_matrix(words)
         found = self.table.find(codes)
         single = (found[:, 0, :] == 0) & (codes.T > 0)  # letters that are no piece themselves
-        return found, single, sizes
+        return found, single, sizes, codes
 
     def forward(self, found: np.ndarray, single: np.ndarray) -> np.ndarray:
         """Sums over all segmentations of every prefix: [end, word, language]."""
@@ -141,7 +149,7 @@ class SegmentModel:
                     total[on] += alpha[end - length, on] * self.prob[number[on]]
             on = np.flatnonzero(single[end - 1])
             if len(on):
-                total[on] += alpha[end - 1, on] * self.rest
+                total[on] += alpha[end - 1, on]
         return alpha
 
     def log_prob(self, words: list[str]) -> np.ndarray:
@@ -150,9 +158,14 @@ class SegmentModel:
             return np.zeros((0, len(self.languages)))
         cut = [parts(w) for w in words]
         flat = [p for c in cut for p in c]
-        found, single, sizes = self._numbers(flat)
+        found, single, sizes, codes = self._numbers(flat)
         alpha = self.forward(found, single)
         logs = np.log(np.maximum(alpha[sizes, np.arange(len(flat))], 1e-300))
+        place, word = np.nonzero(single)
+        if len(word):
+            letters, number = np.unique(codes[word, place], return_inverse=True)
+            spelled = np.array([self.byte_log[self._bytes(int(c))].sum(axis=0) for c in letters])
+            np.add.at(logs, word, spelled[number])
         starts = np.cumsum([0] + [len(c) for c in cut[:-1]])
         return np.add.reduceat(logs, starts, axis=0)
 
@@ -164,19 +177,25 @@ class SegmentModel:
                 for part in parts(word):
                     weights[part] += n
             listed = sorted(weights)
-            found, single, sizes = self._numbers(listed)
+            found, single, sizes, codes = self._numbers(listed)
             weight = np.array([weights[w] for w in listed], dtype=float)
+            place, word = np.nonzero(single)
+            letters, number = np.unique(codes[word, place], return_inverse=True)
+            uses = np.full(256, smooth)
+            for letter, n in zip(letters, np.bincount(number, weight[word], len(letters))):
+                np.add.at(uses, self._bytes(int(letter)), n)
             # Start from the counts of all pieces inside the words.
             expected = np.bincount(found.ravel(), np.broadcast_to(weight, found.shape).ravel(), len(self.prob))
             one = SegmentModel.__new__(SegmentModel)
-            one.languages, one.rest = [self.languages[k]], self.rest[k : k + 1]
+            one.languages = [self.languages[k]]
             for _ in range(rounds):
                 expected[0] = 0.0
                 share = expected + smooth
                 share[0] = 0.0
-                one.prob = (share / share.sum())[:, None]
+                total = share.sum() + uses.sum()
+                one.prob = (share / total)[:, None]
                 expected = one._expect(found, single, sizes, weight)
-            self.prob[:, k] = one.prob[:, 0]
+            self.prob[:, k], self.byte_log[:, k] = one.prob[:, 0], np.log(uses / total)
         return self
 
     def _expect(self, found, single, sizes, weight) -> np.ndarray:
@@ -190,7 +209,7 @@ class SegmentModel:
             for length in range(1, min(longest, width - start) + 1):
                 number = found[start, length - 1]
                 beta[start] += np.where(number > 0, prob[number] * beta[start + length], 0.0)
-            beta[start] += np.where(single[start], self.rest[0] * beta[start + 1], 0.0)
+            beta[start] += np.where(single[start], beta[start + 1], 0.0)
         scale = weight / np.maximum(alpha[sizes, np.arange(n)], 1e-300)
         expected = np.zeros(len(prob))
         for start in range(width):

@@ -21,6 +21,19 @@ def test_language_model_sums_all_segmentations():
     assert np.isfinite(long).all()
 
 
+def test_languages_of_letters_without_pieces():
+    vocabulary = language_id.read_vocabulary(language_id.public_tokenizers.path("piece_bpe_32k.model"))
+    assert max(map(len, vocabulary)) > 8 and {"▁information", "▁different"} <= set(vocabulary)
+    # a letter in no piece has one way to be spelled, so its bytes factor out of the sums
+    assert {c for p in vocabulary for c in p} <= set(vocabulary)
+    odia, lao = ["ଓଡ଼ିଆ", "ଭାଷା", "ଲୋକ"], ["ພາສາ", "ລາວ", "ຄົນ"]
+    letters = [language_id.words_of(" ".join(x)) for x in (odia, lao)]
+    model = language_id.SegmentModel(vocabulary, ["lo", "or"]).fit([Counter(letters[1]), Counter(letters[0])])
+    logs = [model.log_prob(x).sum(axis=0) for x in letters]
+    assert logs[0][1] - logs[0][0] > 20 and logs[1][0] - logs[1][1] > 20
+    assert np.allclose(model.prob.sum(axis=0) + np.exp(model.byte_log).sum(axis=0), 1)
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet(f"{BIG}/documents.parquet")
     lang = {r["doc_id"]: r["lang"] for r in docs.collect()}
