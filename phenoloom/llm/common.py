@@ -35,11 +35,17 @@ def held_out(id_col: Column) -> Column:
 
 
 def worker_memo(name: str, make: Callable[[], object]):
-    """An object made once per Python worker and kept between its tasks."""
+    """An object made once per Python worker and kept between its tasks.
+
+    A worker serves the stages of several operators one after another; it keeps
+    the object asked for last and lets the one before go, so its memory is that of
+    one operator.
+    """
     holder = sys.modules.setdefault("_phenoloom_worker", types.ModuleType("_phenoloom_worker"))
-    if not hasattr(holder, name):
-        setattr(holder, name, make())
-    return getattr(holder, name)
+    if getattr(holder, "name", None) != name:
+        holder.name = holder.value = None
+        holder.value, holder.name = make(), name
+    return holder.value
 
 
 def sample_per_class(
