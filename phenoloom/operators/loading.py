@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phenoloom.functions.keys import QUANTITATIVE_TRAITS
 from phenoloom.model import PHENO_KEY
 from phenoloom.operators import codings, logs
 from phenoloom.sinks.writers import write_table
@@ -12,27 +13,23 @@ from phenoloom.sources import readers
 
 
 def metadata_from_logs(test_logs: DataFrame, model_logs: DataFrame, phenotypes: DataFrame) -> DataFrame:
-    """Association metadata of every phenotype from its logs, in one pass.
+    """Association metadata of every phenotype from its logs.
 
     ``test_logs`` are line tables with the five-part key and ``chrom``;
-    ``model_logs`` line tables by ``file``; ``phenotypes`` maps each five-part
-    key to its model log ``file``. Facts not found keep their -1, 'NA' or
-    'Unknown'.
+    ``model_logs`` line tables by ``file``, as read; ``phenotypes`` maps each
+    five-part key to its model log ``file``. One pass over either kind of log;
+    facts not found keep their -1, 'NA' or 'Unknown'.
     """
-    quantitative = F.col("trait_type").isin("continuous", "biomarkers")
-    kinds = phenotypes.select("file", quantitative.alias("_quantitative")).distinct()
-    tagged = model_logs.join(kinds, "file")
-    facts = (
-        logs.heritability_from_logs(tagged, F.col("_quantitative"))
-        .join(logs.version_from_logs(model_logs), "file")
-        .join(logs.normalization_from_logs(model_logs), "file")
-    )
+    facts = logs.facts_from_logs(model_logs)
     counts = logs.case_counts_from_logs(test_logs, PHENO_KEY)
+    quantitative = F.col("trait_type").isin(QUANTITATIVE_TRAITS)
     defaults: dict[str, Column] = {
         "n_cases": F.lit(-1), "n_controls": F.lit(-1), "heritability": F.lit(-1.0),
         "saige_version": F.lit("NA"), "inv_normalized": F.lit("NA"),
     }
-    joined = phenotypes.join(facts, "file", "left").join(counts, PHENO_KEY, "left")
+    joined = phenotypes.join(facts, "file", "left").join(counts, PHENO_KEY, "left").withColumn(
+        "heritability", F.when(quantitative, F.col("heritability_quantitative")).otherwise(F.col("heritability_binary"))
+    )
     return joined.select(*PHENO_KEY, *[F.coalesce(name, default).alias(name) for name, default in defaults.items()])
 
 

@@ -1,8 +1,7 @@
 """Facts from tool logs, for all phenotypes' logs in one job.
 
 The line tables have ``file`` and ``value`` plus ``block`` and ``line``, which
-order the lines of a file. A file may span many blocks; only a block's own lines
-are sorted together.
+order the lines of a file. A file may span many blocks, read by different tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phenoloom.operators.logscan import Marker, lines_below
+
 # Wording of the log lines.
 USED_SAMPLES = [
     "samples were used in fitting the NULL glmm model and are found in sample file",
@@ -40,9 +41,8 @@ def word(line: Column, i: int) -> Column:
 def with_next_lines(lines: DataFrame, n: int = 1, where: Column | None = None) -> DataFrame:
     """The lines matching ``where``, with the following ones as ``next1..nextn``.
 
-    ``line`` counts without gaps within a block. Only the extent of each block
-    and the matching lines are shuffled; the following lines are fetched by
-    their place.
+    ``line`` counts without gaps within a block. The following lines are fetched
+    by their place, which exchanges all lines; :func:`facts_from_logs` does not.
     """
     blocks = Window.partitionBy("file").orderBy("block")
     extent = (
@@ -110,6 +110,47 @@ def case_counts_from_logs(lines: DataFrame, key: list[str], chrom: str = "chrom"
     )
 
 
+VERSION, NORMALIZED, MODEL_TIME, HERITABILITY = range(4)
+MARKERS = [Marker(PACKAGES, 1), Marker(NORMALIZE, 1), Marker(MODEL_TIMING, 2), Marker(FINAL, 0)]
+
+
+def facts_from_logs(lines: DataFrame) -> DataFrame:
+    """All facts of the model logs by one pass over their lines, a row per file.
+
+    ``saige_version``, ``inv_normalized``, ``cpu`` and ``wall`` come from the last
+    marker line with a readable line below it, the heritabilities from the first
+    readable ``Final`` line of four words: t2 / (t1 + t2) for a quantitative
+    trait, t2 / (t2 + pi^2 / 3) for a binary one. Facts not found are 'NA',
+    'Unknown' or -1. Lines are as :func:`logscan.lines_below` wants them.
+    """
+    found, files = lines_below(lines, MARKERS)
+    text = F.col("text")
+    parts = words(text)
+    named = F.get(F.filter(parts, lambda w: F.contains(w, F.lit(PACKAGE_NAME))), F.lit(0))
+    times = F.when(F.size(parts) == 3, F.struct(parts[0].alias("cpu"), parts[2].alias("wall")))
+    t1, t2 = (F.when(F.size(parts) == 4, word(text, i)).try_cast("double") for i in (1, 2))
+
+    def share(total: Column) -> Column:
+        return F.when(total != 0, t2 / total)
+
+    def pick(fact: int, value: Column, choose) -> Column:
+        return choose(F.when((F.col("fact") == fact) & value.isNotNull(), F.struct("at", value.alias("value")))).getField("value")
+
+    facts = found.groupBy("file").agg(
+        pick(VERSION, named, F.max).alias("saige_version"),
+        pick(NORMALIZED, F.initcap(word(text, 1)), F.max).alias("inv_normalized"),
+        pick(MODEL_TIME, times, F.max).alias("_times"),
+        pick(HERITABILITY, share(t2 + F.lit(math.pi**2 / 3)), F.min).alias("heritability_binary"),
+        pick(HERITABILITY, share(t1 + t2), F.min).alias("heritability_quantitative"),
+    )
+    default = {
+        "saige_version": F.lit("NA"), "inv_normalized": F.lit("Unknown"), "cpu": F.lit("NA"), "wall": F.lit("NA"),
+        "heritability_binary": F.lit(-1.0), "heritability_quantitative": F.lit(-1.0),
+    }
+    joined = files.join(facts.select("*", "_times.cpu", "_times.wall"), "file", "left")
+    return joined.select("file", *[F.coalesce(n, d).alias(n) for n, d in default.items()])
+
+
 def heritability_from_logs(lines: DataFrame, quantitative: Column | None = None) -> DataFrame:
     """Heritability per file from its first readable ``Final`` line of four words.
 
@@ -128,34 +169,20 @@ def heritability_from_logs(lines: DataFrame, quantitative: Column | None = None)
     return best.select("file", F.coalesce("_b.share", F.lit(-1.0)).alias("heritability"))
 
 
-def _last_fact(lines: DataFrame, marker: str, n: int, fact: Column, default: Column, name: str) -> DataFrame:
-    """The fact below the last marker line that yields one, per file."""
-    below = with_next_lines(lines, n, F.col("value").startswith(marker)).select(
-        "file", fact.alias("_fact"), _position().alias("at")
-    )
-    facts = below.groupBy("file").agg(F.max(F.when(F.col("_fact").isNotNull(), F.struct("at", "_fact"))).alias("_l"))
-    files = lines.select("file").distinct()
-    return files.join(facts, "file", "left").select("file", F.coalesce("_l._fact", default).alias(name))
-
-
 def version_from_logs(lines: DataFrame) -> DataFrame:
     """Tool version per file: the first matching package on the line below the
     package header; 'NA' if none."""
-    named = F.filter(words(F.col("next1")), lambda w: F.contains(w, F.lit(PACKAGE_NAME)))
-    return _last_fact(lines, PACKAGES, 1, F.get(named, F.lit(0)), F.lit("NA"), "saige_version")
+    return facts_from_logs(lines).select("file", "saige_version")
 
 
 def normalization_from_logs(lines: DataFrame) -> DataFrame:
     """Inverse-normal flag per file, capitalised; 'Unknown' if none."""
-    return _last_fact(lines, NORMALIZE, 1, F.initcap(word(F.col("next1"), 1)), F.lit("Unknown"), "inv_normalized")
+    return facts_from_logs(lines).select("file", "inv_normalized")
 
 
 def model_timing_from_logs(lines: DataFrame) -> DataFrame:
     """CPU and wall time per file, two lines below the timing marker; 'NA' if none."""
-    parts = words(F.col("next2"))
-    fact = F.when(F.size(parts) == 3, F.struct(parts[0].alias("cpu"), parts[2].alias("wall")))
-    default = F.struct(F.lit("NA").alias("cpu"), F.lit("NA").alias("wall"))
-    return _last_fact(lines, MODEL_TIMING, 2, fact, default, "_timing").select("file", "_timing.cpu", "_timing.wall")
+    return facts_from_logs(lines).select("file", "cpu", "wall")
 
 
 def timing_from_logs(lines: DataFrame) -> DataFrame:
