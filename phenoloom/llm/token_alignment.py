@@ -7,7 +7,7 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +27,7 @@ from phenoloom.session import stage
 #: (checked when the vocabulary is read), so no token crosses such a cut.
 CHUNK = re.compile(" *[^ ]+| +")
 NO_TOKENS = np.zeros(0, dtype=np.int64)
+STEP_BYTES = 1 << 18  # texts aligned at a time
 
 
 class ByteTokens:
@@ -43,9 +44,12 @@ class ByteTokens:
         for added in built["added_tokens"]:
             self.spelled[added["id"]] = added["content"].encode()
         self.length = np.array([len(s) for s in self.spelled], dtype=np.int64)
+        # With a token for every byte and no normalizer, tokens always spell their text.
+        self.exact = built["normalizer"] is None and {bytes([b]) for b in range(256)} <= set(self.spelled)
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        return self.encode([" " + t for t in texts])
+    def __call__(self, texts: list[str]) -> tuple[list[bytes], list[bool] | None]:
+        """Ids of the texts, and which of them their tokens spell if that is known."""
+        return self.encode([" " + t for t in texts]), [True] * len(texts) if self.exact else None
 
 
 class PieceTokens:
@@ -61,40 +65,57 @@ class PieceTokens:
             for i, p in enumerate(pieces)
         ]
         self.length = np.array([len(s) for s in self.spelled], dtype=np.int64)
-        self.blank = array("I", [self.model.piece_to_id("▁")]).tobytes()
+        self.blank = self.model.piece_to_id("▁")
         self.cut = not any(re.search("[^▁]▁", p) for p in pieces)
         self.known: dict[str, bytes] = {}
+        self.unlike: set[str] = set()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return self.model.encode(texts, num_threads=1)
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of new chunks. The model puts a blank before a text by itself, but
+        none before an empty one; chunks that their tokens do not spell are noted."""
+        out = {}
+        for chunk, ids in zip(chunks, self._ids([c[1:] for c in chunks])):
+            ids = ids if chunk != " " else [self.blank]
+            if b"".join(map(self.spelled.__getitem__, ids)) != chunk.encode("utf-8", "surrogatepass"):
+                self.unlike.add(chunk)
+            out[chunk] = array("I", ids).tobytes()
+        return out
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[str]) -> tuple[list[bytes], list[bool] | None]:
         if not self.cut:
-            return self._ids(texts)
+            return [array("I", ids).tobytes() for ids in self._ids(texts)], None
         chunks = [CHUNK.findall(" " + t) for t in texts]
         if len(self.known) > self.most:
             self.known.clear()
-        new = list(set().union(*chunks).difference(self.known))
-        long = {}
-        # The model puts a blank before a text by itself; an empty text has none.
-        for chunk, ids in zip(new, self._ids([c[1:] for c in new])):
-            (self.known if len(chunk) <= 64 else long)[chunk] = ids if chunk != " " else self.blank
-        of = {**self.known, **long}.__getitem__ if long else self.known.__getitem__
-        return [b"".join(map(of, cs)) for cs in chunks]
+        self.unlike.clear()
+        used = set().union(*chunks)
+        made = self._learn(list(used.difference(self.known)))
+        self.known.update(made)
+        coded = [b"".join(map(self.known.__getitem__, cs)) for cs in chunks]
+        unlike = self.unlike
+        exact = [unlike.isdisjoint(cs) for cs in chunks] if unlike else [True] * len(chunks)
+        for chunk in made:  # odd and long chunks are not remembered
+            if len(chunk) > 64 or chunk in unlike:
+                del self.known[chunk]
+        return coded, exact
 
 
 def pointer_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The group of every token of A and B, numbered from 0 along the bytes.
 
-    Both lists of byte ends rise and end at the same byte. Every token points to
+    Both lists of byte ends rise and end at the same byte; neither is empty. Every token points to
     the farthest-right token that overlaps it: the other side's token over its
     last byte, if that one ends later, or ends with it and belongs to A. Doubling
     the successors ends at each component's terminal token, one of A, which is
     the component's label.
     """
     n = len(ends_a)
-    over_b, over_a = np.searchsorted(ends_b, ends_a), np.searchsorted(ends_a, ends_b)
-    later = ends_b[over_b] > ends_a if n else np.zeros(0, dtype=bool)
+    holder = [np.repeat(np.arange(len(e)), np.diff(e, prepend=0)) for e in (ends_a, ends_b)]  # the token over each byte
+    over_b, over_a = holder[1][ends_a - 1], holder[0][ends_b - 1]
+    later = ends_b[over_b] > ends_a
     successor = np.concatenate([np.where(later, n + over_b, np.arange(n)), over_a])
     while True:
         doubled = successor[successor]
@@ -102,7 +123,9 @@ def pointer_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray,
             break
         successor = doubled
     terminal = np.flatnonzero(successor[:n] == np.arange(n))
-    group = np.searchsorted(terminal, successor)
+    number = np.zeros(n, dtype=np.int64)
+    number[terminal] = np.arange(len(terminal))
+    group = number[successor]
     return group[:n], group[n:]
 
 
@@ -110,6 +133,15 @@ def _starts(sizes: list[int]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.array(sizes, dtype=np.int64))])
 
 
+def _steps(ends: np.ndarray, at: int, to: int, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``most`` bytes, or of one text, between two places."""
+    while at < to:
+        before = ends[at - 1] if at else 0
+        upto = min(to, max(at + 1, int(np.searchsorted(ends, before + most, side="right"))))
+        yield at, upto
+        at = upto
+
+
 @dataclass
 class Block:
     """The alignment of some texts: counts and digest per text, then all links in order."""
@@ -120,6 +152,11 @@ class Block:
     digests: list[str]
     links: np.ndarray  # A's id in the upper half, B's in the lower
 
+    @classmethod
+    def joined(cls, parts: Iterable[Block]) -> Block:
+        n_a, n_b, n_groups, digests, links = zip(*((p.n_a, p.n_b, p.n_groups, p.digests, p.links) for p in parts))
+        return cls(*map(np.concatenate, (n_a, n_b, n_groups)), sum(digests, []), np.concatenate(links))
+
 
 class Aligner:
     def __init__(self, path_a: str, path_b: str, most: int):
@@ -129,11 +166,12 @@ class Aligner:
 
     def _tokens(self, side, texts: list[str], spelled: list[bytes]):
         """Ids of all texts, their byte lengths, places of the texts, and which texts the tokens spell."""
-        coded = side(texts)
+        coded, same = side(texts)
         ids = np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int64)
         at = _starts([len(c) // 4 for c in coded])
-        pieces = list(map(side.spelled.__getitem__, ids.tolist()))
-        same = [b"".join(pieces[i:j]) == s for i, j, s in zip(at[:-1], at[1:], spelled)]
+        if same is None:
+            pieces = list(map(side.spelled.__getitem__, ids.tolist()))
+            same = [b"".join(pieces[i:j]) == s for i, j, s in zip(at[:-1], at[1:], spelled)]
         return ids, side.length[ids], at, np.array(same, dtype=bool)
 
     def __call__(self, texts: list[str | None]) -> Block:
@@ -188,9 +226,10 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
             sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
             at = 0
             while at < len(texts):
-                before = sizes[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(sizes, before + block_bytes, side="right")))
-                made = align(texts.slice(at, to - at).to_pylist())
+                _, to = next(_steps(sizes, at, len(texts), block_bytes))
+                made = Block.joined([
+                    align(texts.slice(i, j - i).to_pylist()) for i, j in _steps(sizes, at, to, min(block_bytes, STEP_BYTES))
+                ])
                 pairs, links, counts = np.unique(made.links, return_inverse=True, return_counts=True)
                 kind = lambda x, t=pa.int64(): pa.array([x], pa.list_(t))
                 yield pa.RecordBatch.from_arrays(
@@ -206,7 +245,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
 
 def align_tokenizers(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_a: str | None = None, path_b: str | None = None,
-    block_bytes: int = 2 << 20, most: int = 150_000,
+    block_bytes: int = 2 << 20, most: int = 250_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: an alignment per document, and the linked id pairs of the corpus.
 
