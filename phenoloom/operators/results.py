@@ -68,9 +68,11 @@ def load_variant_results(
         *kept_fields,
         scan["`p.value`"].alias("Pvalue"),
     )
-    # One exchange by variant serves the deduplication and the annotation.
-    described = with_metadata(keyed, metadata).withColumn("log_pvalue", F.lit(log_pvalue)).repartition(*VARIANT)
-    return lookup(one_per_key(described, [*VARIANT, *PHENO_KEY]), annotation, VARIANT, unique=True)
+    # One exchange by variant serves the deduplication and the annotation; the
+    # metadata is attached after it.
+    single = one_per_key(keyed.repartition(*VARIANT), [*VARIANT, *PHENO_KEY])
+    described = with_metadata(single, metadata).withColumn("log_pvalue", F.lit(log_pvalue))
+    return lookup(described, annotation, VARIANT, unique=True)
 
 
 def load_gene_results(

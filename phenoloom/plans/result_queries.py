@@ -261,13 +261,14 @@ def variant_annotation(t: Tables):
 
 
 _SINGLE = """, single AS (SELECT 'chr' || (l_partkey % 22 + 1) AS contig, l_partkey::INTEGER AS pos, l_returnflag || l_linestatus AS phenocode,
-        l_quantity, l_discount, l_tax, l_linenumber, (l_orderkey % 1000 + 1) / 1000.0::DOUBLE AS p, l_partkey FROM lineitem),
+        l_quantity, l_discount, l_tax, l_linenumber, (l_orderkey % 1000 + 1) / 1000.0::DOUBLE AS p, l_partkey FROM lineitem)"""
+_NUMBERED = _SINGLE + """,
     numbered AS (SELECT *, row_number() OVER (PARTITION BY contig, pos, phenocode ORDER BY {order}) AS k FROM single)"""
 
 
 @query(
     "P14_load_variant_results",
-    "WITH dummy AS (SELECT 1)" + _SINGLE.format(order="l_linenumber, l_discount, l_quantity, l_discount, p") + """
+    "WITH dummy AS (SELECT 1)" + _NUMBERED.format(order="l_linenumber, l_discount, l_quantity, l_discount, p") + """
     SELECT contig, pos, phenocode, l_linenumber AS ac, l_quantity AS beta, p AS pvalue,
         CASE WHEN phenocode LIKE 'A%' THEN NULL ELSE 10 END AS n_cases, CASE WHEN phenocode LIKE 'A%' THEN NULL ELSE 0.25::DOUBLE END AS heritability,
         NULL::VARCHAR AS saige_version, p_brand AS gene, p_type AS annotation
@@ -283,7 +284,7 @@ def p14(t):
 
 @query(
     "P11_unify_imputed_results",
-    "WITH dummy AS (SELECT 1)" + _SINGLE.format(order="l_quantity, l_discount, l_quantity, l_discount, p") + """
+    "WITH dummy AS (SELECT 1)" + _NUMBERED.format(order="l_quantity, l_discount, l_quantity, l_discount, p") + """
     SELECT contig, pos, phenocode, l_quantity AS ac_allele2, l_discount AS af_allele2, NULL::DOUBLE AS af_cases, p AS pvalue,
         '' AS gene, '' AS annotation, CASE WHEN phenocode LIKE 'A%' THEN 7 ELSE 10 END AS n_cases,
         CASE WHEN phenocode LIKE 'A%' THEN 8 ELSE 20 END AS n_controls, false AS log_pvalue FROM numbered WHERE k = 1""",

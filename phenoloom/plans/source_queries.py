@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenoloom.model import PHENO_KEY, MatrixFrame
-from phenoloom.operators import logs, registry, results, variants
+from phenoloom.model import PHENO_KEY, MatrixFrame, pheno_key
+from phenoloom.functions.keys import joined_key
+from phenoloom.operators import loading, logs, registry, results, variants
 from phenoloom.plans import phenotype_queries as phenotypes
 from phenoloom.plans.registry import query
-from phenoloom.plans.result_queries import gene_scan, variant_scan
+from phenoloom.plans.result_queries import _MARKERS, _SINGLE, gene_scan, variant_scan
 from phenoloom.plans.variant_queries import _GROUPS, _WORST
 from phenoloom.plans.views import Tables, with_views
 from phenoloom.session import staging_root
@@ -323,3 +324,67 @@ def load_prescriptions(t):
     )
 
 
+
+
+_LOADED = """, totals AS (SELECT l_returnflag || l_linestatus AS phenocode, count(*) AS n FROM lineitem GROUP BY 1),
+    facts AS (SELECT phenocode, n::INTEGER AS n_cases, (2 * n)::INTEGER AS n_controls, round(0.5 / (0.5 + pi() ** 2 / 3), 6) AS heritability,
+        'SAIGE_0.' || (n % 50) AS saige_version, CASE WHEN n % 2 = 0 THEN 'True' ELSE 'False' END AS inv_normalized FROM totals),
+    kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contig, pos, phenocode ORDER BY
+        CASE WHEN phenocode LIKE 'N%' THEN l_quantity ELSE l_linenumber END, l_discount, l_quantity, p) AS k FROM single) WHERE k = 1)
+    SELECT 'variant' AS kind, contig || ':' || pos AS id, k.phenocode, p AS pvalue, p_brand AS gene, p_type AS annotation,
+        CASE WHEN k.phenocode LIKE 'N%' THEN NULL ELSE l_linenumber::INTEGER END AS ac, n_cases, n_controls, heritability, saige_version, inv_normalized
+    FROM kept k JOIN facts f ON f.phenocode = k.phenocode LEFT JOIN part ON p_partkey = l_partkey
+    UNION ALL SELECT 'gene', 'ENSG' || p_partkey, f.phenocode, p_size / 100.0::DOUBLE, replace(p_brand, '#', ''), p_type,
+        (MARKERS)::INTEGER, n_cases, n_controls, heritability, saige_version, inv_normalized
+    FROM part JOIN facts f ON f.phenocode = (['AF', 'AO', 'NF', 'NO', 'RF', 'RO'])[p_partkey % 6 + 1] WHERE p_partkey % 10 <> 0""".replace("MARKERS", _MARKERS)
+_CODES = ["AF", "AO", "NF", "NO", "RF", "RO"]
+
+
+@query("load_results_main", "WITH dummy AS (SELECT 1)" + _SINGLE + _LOADED)
+def load_results_main(t):
+    """Result folders of six phenotypes in two header shapes, their logs, and the load of all."""
+    root = folder(t)
+    counts = t.lineitem.groupBy(*pheno_key("icd10", F.concat("l_returnflag", "l_linestatus"))).agg(F.count("*").alias("n"))
+    phenotypes = counts.select(*PHENO_KEY, joined_key(counts).alias("file"), "n")
+    lines = {
+        "model": [
+            F.lit("Final 1 0.5 end"), F.lit("other attached packages:"), F.concat(F.lit("[1] SAIGE_0."), (F.col("n") % 50).cast("string")),
+            F.lit("$invNormalize"), F.when(F.col("n") % 2 == 0, "[1] TRUE").otherwise("[1] FALSE"),
+        ],
+        "test": [F.concat_ws(" ", F.lit("Analyzing"), F.col("n").cast("string"), F.lit("cases and"), (2 * F.col("n")).cast("string"), F.lit("controls"))],
+    }
+    read = {}
+    for kind, texts in lines.items():
+        # One log per phenotype, its lines in order.
+        exploded = phenotypes.select("file", F.posexplode(F.array(*texts)).alias("at", "value"))
+        exploded.repartitionByRange("file", "at").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(f"{root}/{kind}")
+        name = F.regexp_extract("file", "/file=([^/]+)/", 1)
+        read[kind] = readers.read_lines(t.spark, f"{root}/{kind}").withColumn("file", name)
+    tests = read["test"].join(phenotypes.drop("n"), "file").withColumn("chrom", F.lit(10))
+    genes = gene_scan(t)
+    number = F.regexp_extract("Gene", r"ENSG(\d+)_", 1).cast("int")
+    for i, code in enumerate(_CODES):
+        place = f"{root}/results/icd10-{code}-both_sexes--"
+        single = variant_scan(t, code.startswith("N")).filter(F.col("phenocode") == code).drop(*PHENO_KEY)
+        delimited(single, f"{place}/all.single.txt", " ", nullValue="NA")
+        delimited(genes.filter(number % 6 == i), f"{place}/all.gene.txt", " ", nullValue="NA")
+    contig = F.concat(F.lit("chr"), (F.col("p_partkey") % 22 + 1).cast("string"))
+    annotation = t.part.select(
+        contig.alias("contig"), F.col("p_partkey").cast("int").alias("pos"), F.array(F.lit("A"), F.lit("G")).alias("alleles"),
+        F.col("p_brand").alias("gene"), F.col("p_type").alias("annotation"),
+    )
+    intervals = t.part.select(F.concat(F.lit("ENSG"), F.col("p_partkey").cast("string")).alias("gene_id"), F.col("p_size").alias("interval"))
+    out = loading.load_association_results(
+        t.spark, f"{root}/results", phenotypes.drop("n"), loading.metadata_from_logs(tests, read["model"], phenotypes.drop("n")),
+        f"{root}/loaded", annotation, intervals,
+    )
+    facts = ["n_cases", "n_controls", F.round("heritability", 6).alias("heritability"), "saige_version", "inv_normalized"]
+    single = out["variant_results"].select(
+        F.lit("variant").alias("kind"), F.concat_ws(":", "contig", F.col("pos").cast("string")).alias("id"), "phenocode",
+        F.col("Pvalue").alias("pvalue"), "gene", "annotation", F.col("AC").alias("ac"), *facts,
+    )
+    gene = out["gene_results"].select(
+        F.lit("gene").alias("kind"), F.col("gene_id").alias("id"), "phenocode", F.col("Pvalue").alias("pvalue"),
+        F.col("gene_symbol").alias("gene"), "annotation", F.col("total_variants").alias("ac"), *facts,
+    )
+    return single.unionByName(gene)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from phenoloom.session import stage
 
 
 def _schema(**fields: str) -> str:
@@ -26,11 +29,47 @@ def _by_header(spark: SparkSession, path: str | Sequence[str], sep: str, **optio
     return spark.read.options(header=True, sep=sep, inferSchema=False, enforceSchema=False, **options).csv(path)
 
 
+@contextmanager
+def _one_file_per_task(spark: SparkSession) -> Iterator[None]:
+    """Scans planned and run inside have a task per file, which reads a line at a time."""
+    whole = str(1 << 40)
+    conf = {
+        "spark.sql.files.maxPartitionBytes": whole, "spark.sql.files.openCostInBytes": whole,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def first_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, header): the first line of every file of a text scan, staged.
+
+    The files are listed by the scan. A task takes the first line of its file
+    and ends, so the bodies are not read beyond the reader's first buffers.
+    Empty files have no line.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    with _one_file_per_task(spark):
+        return stage(lines.mapInArrow(first, lines.schema))
+
+
 def files_by_header(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
     """The files of a text scan by their first line; a string per file reaches the driver."""
-    first = read_lines(spark, path).groupBy("file").agg(F.min_by("value", F.struct("block", "line")).alias("header"))
     found: dict[str, list[str]] = {}
-    for row in first.orderBy("file").toLocalIterator():
+    for row in first_lines(spark, path).orderBy("file").toLocalIterator():
         found.setdefault(row["header"], []).append(unquote(row["file"]))
     return found
 
@@ -158,19 +197,32 @@ GENE_RESULT_TYPES = {
 }
 
 
+def _result_scans(
+    spark: SparkSession, groups: Sequence[Sequence[str]], types: dict[str, str], path_col: str | None
+) -> list[DataFrame]:
+    """A scan for each group of paths, whose files share a header."""
+    scans = []
+    for group in groups:
+        raw = _by_header(spark, list(group), " ", nullValue="NA", quote="")
+        if path_col:
+            raw = raw.select("*", F.col("_metadata.file_path").alias(path_col))
+        scans.append(_typed(raw, types))
+    return scans
+
+
+def result_scans(spark: SparkSession, groups: Sequence[Sequence[str]], gene: bool = False, path_col: str | None = None) -> list[DataFrame]:
+    """Typed scans of variant or gene results, one per group of files with a common header."""
+    return _result_scans(spark, groups, GENE_RESULT_TYPES if gene else VARIANT_RESULT_TYPES, path_col)
+
+
 def _read_results(
     spark: SparkSession, directories: str | Sequence[str], extension: str, types: dict[str, str],
     mixed_headers: bool, path_col: str | None,
 ) -> DataFrame:
     folders = [directories] if isinstance(directories, str) else list(directories)
     paths = [f"{folder}/*.{extension}" for folder in folders]
-    tables = []
-    for group in files_by_header(spark, paths).values() if mixed_headers else [paths]:
-        raw = _by_header(spark, group, " ", nullValue="NA", quote="")
-        if path_col:
-            raw = raw.select("*", F.col("_metadata.file_path").alias(path_col))
-        tables.append(_typed(raw, types))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    groups = list(files_by_header(spark, paths).values()) if mixed_headers else [paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), _result_scans(spark, groups, types, path_col))
 
 
 def read_variant_results(
@@ -180,8 +232,8 @@ def read_variant_results(
     """Space-separated single-variant results of one or many directories; NA is missing.
 
     The files share one header, and another one is an error. With
-    ``mixed_headers`` they are grouped by header first, at the price of one more
-    pass over the text; columns that a file lacks are NULL. ``path_col`` names a
+    ``mixed_headers`` their first lines are read first and a scan is made for
+    each header; columns that a file lacks are NULL. ``path_col`` names a
     column for the file, from which keys can be taken.
     """
     return _read_results(spark, directories, extension, VARIANT_RESULT_TYPES, mixed_headers, path_col)
