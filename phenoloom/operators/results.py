@@ -191,33 +191,36 @@ def _wider(left: T.DataType, right: T.DataType) -> T.DataType:
 
 
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
-    """Union of many tables whose schemas differ by missing fields or by int
-    against double; each field takes the widest type seen."""
+    """Union of tables whose schemas differ by missing fields or by int against
+    double; each field takes the widest type seen.
+
+    The plan has a leaf for each table. Folders of results, however many, are
+    best read by ``sources.catalogue.read_and_union``, with a leaf per schema.
+    """
     types: dict[str, T.DataType] = {}
     for table in tables:
         for field in table.schema:
             types[field.name] = _wider(types.get(field.name, field.dataType), field.dataType)
-    # Tables of one schema are unioned first, so the plan grows with the number
-    # of schemas rather than of tables.
-    by_schema: dict[str, list[DataFrame]] = {}
-    for table in tables:
-        by_schema.setdefault(table.schema.simpleString(), []).append(table)
-    merged = [reduce(DataFrame.unionByName, group) for group in by_schema.values()]
-    cast = [t.select(*[t[f"`{c}`"].cast(types[c]).alias(c) for c in t.columns]) for t in merged]
+    cast = [t.select(*[t[f"`{c}`"].cast(types[c]).alias(c) for c in t.columns]) for t in tables]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cast)
 
 
-def read_and_union(spark, paths: Sequence[str]) -> DataFrame:
-    """``union_tables`` over Parquet folders, one scan per distinct schema."""
-    by_schema: dict[str, list[str]] = {}
-    for path in paths:
-        by_schema.setdefault(spark.read.parquet(path).schema.simpleString(), []).append(path)
-    return union_tables([spark.read.parquet(*group) for group in by_schema.values()])
+def _as_one(tables: DataFrame | Sequence[DataFrame]) -> DataFrame:
+    return tables if isinstance(tables, DataFrame) else union_tables(tables)
 
 
-def union_with_phenotypes(tables: Sequence[DataFrame], phenotypes: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Union, then annotate each record from the phenotype table by ``fields``."""
-    return lookup(union_tables(tables), phenotypes, fields)
+def union_with_phenotypes(
+    tables: DataFrame | Sequence[DataFrame], phenotypes: DataFrame, fields: Sequence[str], strict: bool = False
+) -> DataFrame:
+    """Union (or a union already made), then annotate each record from the
+    phenotype table by ``fields``. ``strict`` fails at a record that the table lacks."""
+    if not strict:
+        return lookup(_as_one(tables), phenotypes, fields)
+    marked = lookup(_as_one(tables), phenotypes.withColumn("_known", F.lit(True)), fields)
+    lacking = F.raise_error(F.concat_ws(" ", F.lit("no phenotype for"), *[F.col(f).cast("string") for f in fields]))
+    first = marked.columns[0]
+    checked = F.when(F.col("_known").isNull(), lacking.cast(marked.schema[first].dataType)).otherwise(F.col(f"`{first}`"))
+    return marked.withColumn(first, checked).drop("_known")
 
 
 def unknown_phenotypes(results: DataFrame, phenotypes: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -226,7 +229,7 @@ def unknown_phenotypes(results: DataFrame, phenotypes: DataFrame, fields: Sequen
 
 
 def results_matrix(
-    tables: Sequence[DataFrame],
+    tables: DataFrame | Sequence[DataFrame],
     row_key: Sequence[str] = tuple(VARIANT),
     col_key: Sequence[str] = tuple(PHENO_KEY),
     col_fields: Sequence[str] = (),
@@ -234,9 +237,9 @@ def results_matrix(
     """Variant x phenotype matrix of per-phenotype tables.
 
     In long form the phenotype key is a column already: the outer zip of the
-    tables is their union; cells a table lacks are absent.
+    tables is their union, which may be given; cells a table lacks are absent.
     """
-    long = union_tables(tables)
+    long = _as_one(tables)
     cols = one_per_key(long.select(*col_key, *col_fields), list(col_key))
     entries = long.drop(*col_fields)
     return MatrixFrame(entries.select(*row_key).distinct(), cols, entries, list(row_key), list(col_key))

@@ -17,7 +17,10 @@ from phenoloom.plans.variant_queries import _GROUPS, _WORST
 from phenoloom.plans.views import Tables, with_views
 from phenoloom.session import staging_root
 from phenoloom.sinks import writers
-from phenoloom.sources import readers
+from phenoloom.sources import catalogue, readers
+
+
+_CODES = ["AF", "AO", "NF", "NO", "RF", "RO"]
 
 
 def folder(t: Tables) -> str:
@@ -190,8 +193,36 @@ def s10(t):
         t.lineitem.filter(F.col("l_returnflag") == flag).select(order, value.alias("value")).write.parquet(
             f"{root}/{flag}/variant_results"
         )
-    done = readers.finished_outputs(t.spark, [f"{root}/{f}" for f in "ANR"])
-    return results.read_and_union(t.spark, done)
+    done = catalogue.finished_outputs(t.spark, [f"{root}/{f}" for f in "ANR"])
+    return catalogue.read_and_union(t.spark, done)
+
+
+@query(
+    "J8_J9_matrix_of_finished_folders",
+    """SELECT l_partkey AS pos, phenocode, n_cases, segment, count(*) AS n, max(l_quantity)::DOUBLE AS top,
+        CASE WHEN phenocode LIKE 'A%' THEN NULL ELSE min(l_tax) END AS low
+    FROM (SELECT *, l_returnflag || l_linestatus AS phenocode, ascii(l_returnflag)::INTEGER AS n_cases, l_linestatus AS segment FROM lineitem
+        WHERE l_returnflag <> 'R') GROUP BY 1, 2, 3, 4""",
+)
+def matrix_of_folders(t):
+    """Folders of per-phenotype results in two schemas, one of them not finished, as one annotated matrix."""
+    root = folder(t)
+    stats = t.lineitem.select(
+        F.col("l_partkey").alias("pos"), F.concat("l_returnflag", "l_linestatus").alias("phenocode"),
+        F.ascii("l_returnflag").alias("n_cases"), "l_quantity", "l_tax",
+    ).groupBy("pos", "phenocode", "n_cases").agg(
+        F.count("*").alias("n"), F.max("l_quantity").alias("top"), F.min("l_tax").alias("low")
+    )
+    for code in _CODES:
+        own = stats.filter(F.col("phenocode") == code)
+        own = own.drop("low").withColumn("top", F.col("top").cast("int")) if code.startswith("A") else own
+        # Without a marker the write does not count as finished.
+        own.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", code[0] != "R").parquet(f"{root}/{code}/variant_results")
+    long = catalogue.read_and_union(t.spark, catalogue.finished_outputs(t.spark, f"{root}/*"))
+    codes = t.lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("phenocode"), F.col("l_linestatus").alias("segment")).distinct()
+    annotated = results.union_with_phenotypes(long, codes, ["phenocode"], strict=True)
+    matrix = results.results_matrix(annotated, ["pos"], ["phenocode"], ["n_cases", "segment"])
+    return matrix.entries.join(matrix.cols, "phenocode")
 
 
 @query(
@@ -337,7 +368,6 @@ _LOADED = """, totals AS (SELECT l_returnflag || l_linestatus AS phenocode, coun
     UNION ALL SELECT 'gene', 'ENSG' || p_partkey, f.phenocode, p_size / 100.0::DOUBLE, replace(p_brand, '#', ''), p_type,
         (MARKERS)::INTEGER, n_cases, n_controls, heritability, saige_version, inv_normalized
     FROM part JOIN facts f ON f.phenocode = (['AF', 'AO', 'NF', 'NO', 'RF', 'RO'])[p_partkey % 6 + 1] WHERE p_partkey % 10 <> 0""".replace("MARKERS", _MARKERS)
-_CODES = ["AF", "AO", "NF", "NO", "RF", "RO"]
 
 
 @query("load_results_main", "WITH dummy AS (SELECT 1)" + _SINGLE + _LOADED)

@@ -66,3 +66,10 @@ def drop_staged(spark: SparkSession) -> None:
     while _staged:
         path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that a pattern matches, hidden ones too, by one call to the store's client."""
+    jvm = spark._jvm
+    found = jvm.org.apache.spark.deploy.SparkHadoopUtil.get().globPath(jvm.org.apache.hadoop.fs.Path(pattern))
+    return found.mkString("\n").split("\n") if found.nonEmpty() else []

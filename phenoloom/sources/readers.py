@@ -286,14 +286,3 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("line"),
         "value",
     )
-
-
-def finished_outputs(spark: SparkSession, directories: Sequence[str], name: str = "variant_results") -> list[str]:
-    """Paths ``<directory>/<name>`` whose write has completed."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    done = []
-    for directory in directories:
-        marker = jvm.org.apache.hadoop.fs.Path(f"{directory}/{name}/_SUCCESS")
-        if marker.getFileSystem(conf).exists(marker):
-            done.append(f"{directory}/{name}")
-    return done
