@@ -143,6 +143,27 @@ class Packer:
             yield part
 
 
+class Tokens:
+    """A document, or a stretch of its ids from ``start`` on."""
+
+    __slots__ = ("name", "total", "start", "ids")
+
+    def __init__(self, name, total: int, start: int, ids: bytes):
+        self.name, self.total, self.start, self.ids = name, total, start, ids
+
+    def part(self, start: int, length: int) -> Tokens:
+        at = 4 * (start - self.start)
+        return Tokens(self.name, self.total, start, self.ids[at : at + 4 * length])
+
+
+class TokenPacker(Packer):
+    """Open sequences hold the ids of their own pieces, not of whole documents."""
+
+    def _put(self, at, piece) -> Iterator[list]:
+        doc, start, n, loss = piece
+        yield from super()._put(at, (doc.part(start, n), start, n, loss))
+
+
 def pack_tokens(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = 0,
     max_tokens: int = 1024, max_segments: int = 128, max_loss: int = 1024, prompt_tokens_col: str | None = None,
@@ -158,7 +179,7 @@ def pack_tokens(
     others, extra columns are ignored and an empty table gives no rows.
 
     Every task packs its own input in one pass, without a shuffle, and holds at
-    most ``most_open`` unfinished sequences. Sequence ids start with the number
+    most ``most_open`` unfinished sequences, with the ids in them. Sequence ids start with the number
     of the task, so a task that runs again gives the same rows.
     """
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
@@ -174,15 +195,15 @@ def pack_tokens(
     id_type = docs.select(col(id_col)).limit(0).toArrow().schema.field(0).type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = encoder(vocabulary), Packer(limits, most_open)
+        encode, packer = encoder(vocabulary), TokenPacker(limits, most_open)
         number = TaskContext.get().partitionId() << 40
         out: list[tuple] = []
 
         def write(sequence) -> None:
             nonlocal number
             offset = 0
-            for (name, ids), start, length, loss in sequence:
-                out.append((name, ids[4 * start : 4 * (start + length)], start, length, len(ids) // 4, number, offset, loss))
+            for doc, start, length, loss in sequence:
+                out.append((doc.name, doc.part(start, length).ids, start, length, doc.total, number, offset, loss))
                 offset += length
             number += 1
 
@@ -199,7 +220,7 @@ def pack_tokens(
                     ids += end
                     n = len(ids) // 4
                     loss = n - min(n, max(0, prompt_n))
-                    for sequence in packer.add(((name, ids), 0, n, loss)):
+                    for sequence in packer.add((Tokens(name, n, 0, ids), 0, n, loss)):
                         write(sequence)
                 if len(out) > 2000:
                     yield batch_of()

@@ -68,14 +68,13 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as file:
-            built = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        normal = [n["type"] for n in (built["normalizer"] or {}).get("normalizers", [])]
-        before = built["pre_tokenizer"] or {}
+        # The parts tell their make; the file itself, merges and all, is not read twice.
+        made = [json.loads(p.__getstate__()) if p else {} for p in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        normal, before = [n["type"] for n in made[0].get("normalizers", [])], made[1]
         self.words = normal == ["NFC", "Replace", "Lowercase"] and before.get("type") == "Sequence"
-        self.bytes = built["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"]
+        self.bytes = not made[0] and before.get("type") == "ByteLevel" and before["use_regex"]
         self.piece = WORD_PIECE if self.words else BYTE_PIECE
         self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
         self.pieces = Memory(self._encode_piece, most)
@@ -116,6 +115,6 @@ class Encoder:
         return out
 
 
-def encoder(path: str, most: int = 600_000) -> Encoder:
+def encoder(path: str, most: int = 200_000) -> Encoder:
     """The worker's encoder for the vocabulary in ``path``."""
     return worker_memo(f"encoder_{path}_{most}", lambda: Encoder(path, most))
