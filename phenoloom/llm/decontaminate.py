@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from phenoloom.session import stage
 WORD = re.compile(r"[^\W_]+")
 FILTER_BITS = 22  # size of the filter of n-grams sent to the tasks: half a megabyte
 MATCH, MISMATCH, GAP = 2, -1, -2
+MOST_BROADCAST_IDS = 1_000_000  # some tens of megabytes
 
 
 def word_hashes(text: str | None, most: int = 400_000) -> np.ndarray:
@@ -115,6 +116,29 @@ def _filter_of(grams: DataFrame) -> bytes:
     return table.tobytes()
 
 
+def _rare_seeds(met: DataFrame, stretch: int = 8) -> DataFrame:
+    """The seeds of every item: (item, gram, item_at), from all meetings of its n-grams.
+
+    A meeting stands alone if the document has no other n-gram of the item within
+    the item's length. Common language mostly stands alone; a copy, whole or
+    edited, never does, so the number of copies says nothing about a gram. Grams
+    that mostly stand alone are no seeds, but of each ``stretch`` grams of an
+    item the one that stands alone least stays, so every part of it has a seed.
+    """
+    along = Window.partitionBy("doc", "item").orderBy("at", "item_at")
+    far = F.lit(True)
+    for side in (F.lag, F.lead):
+        near = F.abs(side("at").over(along) - F.col("at")) <= F.col("n_words")
+        far &= ~F.coalesce(near & (side("gram").over(along) != F.col("gram")), F.lit(False))
+    counted = met.withColumn("alone", far.cast("int")).groupBy("item", "gram", "item_at").agg(
+        F.sum("alone").alias("n_alone"), F.count("*").alias("n")
+    )
+    part = Window.partitionBy("item", F.floor(F.col("item_at") / stretch)).orderBy("n_alone", "item_at")
+    return counted.withColumn("place", F.row_number().over(part)).filter((2 * F.col("n_alone") <= F.col("n")) | (F.col("place") == 1)).select(
+        "item", "gram", "item_at"
+    )
+
+
 def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", n: int = 3, min_similarity: float = 0.5,
@@ -122,10 +146,9 @@ def find_leaks(
     """(id, item, similarity, n_item_words, end_word): documents that hold a
     benchmark item, whole or edited.
 
-    Words are lower-cased runs of letters and digits. All n-grams of an item are
-    its seeds, however often the documents have them: their frequency tells how
-    many copies of the item there are, not which grams an edit has kept. Around
-    every seed of a document, a Smith-Waterman alignment of words is scored as a
+    Words are lower-cased runs of letters and digits. Rare n-grams of an item are
+    its seeds: those that seldom stand alone in a document (see ``_rare_seeds``),
+    however many copies of the item there are. Around every seed of a document, a Smith-Waterman alignment of words is scored as a
     share of the item's perfect score; pairs of at least ``min_similarity`` come
     back with their best alignment. A copy without any n-gram of the item is not
     found.
@@ -137,25 +160,29 @@ def find_leaks(
 
     The documents are read twice: for the n-grams that the benchmark has (a
     bit filter of fixed size, then exact joins), and for the windows around
-    seeds. Pairs are (document, item) with a shared seed, nothing else.
+    seeds. Pairs are (document, item) with a shared seed, nothing else. Texts
+    without a seed are dropped before the exchange by a broadcast of the others' ids,
+    as long as these are at most ``MOST_BROADCAST_IDS``.
     """
     own = stage(_grams(items, item_col, item_text_col, n, None).withColumnRenamed("_id", "item"))
     hits = stage(_grams(docs, id_col, text_col, n, _filter_of(own)).select(F.struct("_id").alias("doc"), "gram", "at"))
-    seeds = own.select(F.struct("item").alias("item"), "gram", F.col("at").alias("item_at"), "n_words")
+    grams = own.select(F.struct("item").alias("item"), "gram", F.col("at").alias("item_at"), "n_words")
+    met = stage(hits.join(grams, "gram"))
+    seeded = met.join(_rare_seeds(met), ["item", "gram", "item_at"], "left_semi")
     # Windows of an item's length, in steps of half of it, with slack on both sides.
     step = F.ceil((F.col("n_words") + 8) / 2).cast("int")
-    spots = (
-        hits.join(seeds, "gram")
-        .select("doc", "item", step.alias("step"), "n_words", F.floor((F.col("at") - F.col("item_at")) / step).cast("int").alias("slot"))
-        .distinct()
-    )
+    spots = seeded.select(
+        "doc", "item", step.alias("step"), "n_words", F.floor((F.col("at") - F.col("item_at")) / step).cast("int").alias("slot")
+    ).distinct()
     spots = spots.select(
         "doc", "item", ((F.col("slot") - 1) * F.col("step")).alias("lo"),
         ((F.col("slot") + 2) * F.col("step") + F.col("n_words")).alias("hi"),
     )
-    # A document has at most as many spots as it has seeds.
+    # A document's spots come from its seeds, one for each item that has the seed.
     wanted = stage(spots.groupBy("doc").agg(F.collect_list(F.struct("item", "lo", "hi")).alias("spots")))
     texts = docs.select(F.struct(col(id_col).alias("_id")).alias("doc"), col(text_col).alias("_text"))
+    if wanted.count() <= MOST_BROADCAST_IDS:  # other texts need not be exchanged then
+        texts = texts.join(F.broadcast(wanted.select("doc")), "doc", "left_semi")
     windows = _windows(texts.join(wanted, "doc"))
     words = stage(_item_words(items, item_col, item_text_col))
     pairs = windows.join(words, "item")

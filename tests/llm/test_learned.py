@@ -231,3 +231,33 @@ def test_pipeline_odd_rows(spark, make):
     assert Counter(r["doc_id"] for r in docs.collect()) == {None: 1, 3: 1, 4: 1}
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, extra.limit(0), "/root/testdata/sf0.001").count() == 0, name
+
+
+def test_common_phrase_brings_no_pairs(spark, make):
+    """A phrase in all documents and all items is no seed; copies and edited copies are still found."""
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 7))
+    phrase = "it is not the case that"
+    items = [(k, " ".join([*(word() for _ in range(12)), phrase, *(word() for _ in range(12))])) for k in range(60)]
+    docs = [(k, " ".join([*(word() for _ in range(40)), phrase, *(word() for _ in range(40))])) for k in range(120)]
+    docs += [(1000 + k, text) for k, text in items[:5]] + [(2000 + k, " ".join(w if i % 4 else "zz" for i, w in enumerate(items[7][1].split()))) for k in range(30)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    met = []
+    plain = decontaminate._align
+    decontaminate._align = lambda pairs: met.append(pairs.count()) or plain(pairs)
+    try:
+        found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(make(docs), table).collect()}
+    finally:
+        decontaminate._align = plain
+    assert found == {(1000 + k, k) for k in range(5)} | {(2000 + k, 7) for k in range(30)}
+    assert met[0] < 3 * len(docs)  # all pairs would be 9,300
+
+
+def test_open_sequences_hold_their_own_ids():
+    from phenoloom.llm.packing import TokenPacker, Tokens
+
+    packer = TokenPacker((1024, 128, 1024), 4)
+    for name in range(50):
+        n = 1024 * 20 + 37 * (name % 9) + 1
+        list(packer.add((Tokens(name, n, 0, bytes(4 * n)), 0, n, n)))
+        assert sum(len(p[0].ids) for b in packer.open for p in b.pieces) <= 4 * 4 * 1024
