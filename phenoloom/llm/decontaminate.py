@@ -116,27 +116,30 @@ def _filter_of(grams: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def _rare_seeds(met: DataFrame, stretch: int = 8) -> DataFrame:
+def _rare_seeds(grams: DataFrame, met: DataFrame, stretch: int = 8) -> DataFrame:
     """The seeds of every item: (item, gram, item_at), from all meetings of its n-grams.
 
-    A meeting stands alone if the document has no other n-gram of the item within
-    the item's length. Common language mostly stands alone; a copy, whole or
-    edited, never does, so the number of copies says nothing about a gram. Grams
-    that mostly stand alone are no seeds, but of each ``stretch`` grams of an
-    item the one that stands alone least stays, so every part of it has a seed.
+    A meeting stands alone if the n-grams of the item that the document has within
+    about the item's length all lie within ``stretch`` places of it in the item.
+    Common words and phrases mostly stand alone; a copy, whole or edited, has
+    other parts of the item too, so the number of copies says nothing about a
+    gram. Grams that mostly stand alone are no seeds, but of each ``stretch``
+    grams of an item the one that stands alone least stays, so every part of it
+    has a seed. Items of no more than two stretches keep all.
     """
-    along = Window.partitionBy("doc", "item").orderBy("at", "item_at")
-    far = F.lit(True)
-    for side in (F.lag, F.lead):
-        near = F.abs(side("at").over(along) - F.col("at")) <= F.col("n_words")
-        far &= ~F.coalesce(near & (side("gram").over(along) != F.col("gram")), F.lit(False))
-    counted = met.withColumn("alone", far.cast("int")).groupBy("item", "gram", "item_at").agg(
-        F.sum("alone").alias("n_alone"), F.count("*").alias("n")
+    place = F.floor(F.col("at") / F.col("n_words")).alias("place")
+    spread = met.groupBy("doc", "item", place).agg(F.min("item_at").alias("lo"), F.max("item_at").alias("hi"))
+    along = Window.partitionBy("doc", "item").orderBy("place").rangeBetween(-1, 1)
+    around = spread.select("doc", "item", "place", F.min("lo").over(along).alias("lo"), F.max("hi").over(along).alias("hi"))
+    near = (F.col("item_at") - F.col("lo") <= stretch) & (F.col("hi") - F.col("item_at") <= stretch)
+    counted = (
+        met.withColumn("place", place).join(around, ["doc", "item", "place"])
+        .groupBy("item", "gram", "item_at").agg(F.sum(near.cast("int")).alias("n_alone"), F.count("*").alias("n"))
     )
+    every = grams.join(counted, ["item", "gram", "item_at"], "left").withColumn("n_alone", F.coalesce("n_alone", F.lit(0)))
     part = Window.partitionBy("item", F.floor(F.col("item_at") / stretch)).orderBy("n_alone", "item_at")
-    return counted.withColumn("place", F.row_number().over(part)).filter((2 * F.col("n_alone") <= F.col("n")) | (F.col("place") == 1)).select(
-        "item", "gram", "item_at"
-    )
+    seldom = (2 * F.col("n_alone") <= F.col("n")) | (F.col("n_words") <= 2 * stretch)
+    return every.withColumn("first", F.row_number().over(part)).filter(seldom | (F.col("first") == 1)).select("item", "gram", "item_at")
 
 
 def find_leaks(
@@ -168,7 +171,7 @@ def find_leaks(
     hits = stage(_grams(docs, id_col, text_col, n, _filter_of(own)).select(F.struct("_id").alias("doc"), "gram", "at"))
     grams = own.select(F.struct("item").alias("item"), "gram", F.col("at").alias("item_at"), "n_words")
     met = stage(hits.join(grams, "gram"))
-    seeded = met.join(_rare_seeds(met), ["item", "gram", "item_at"], "left_semi")
+    seeded = met.join(_rare_seeds(grams, met), ["item", "gram", "item_at"], "left_semi")
     # Windows of an item's length, in steps of half of it, with slack on both sides.
     step = F.ceil((F.col("n_words") + 8) / 2).cast("int")
     spots = seeded.select(
