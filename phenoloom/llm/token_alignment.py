@@ -164,6 +164,13 @@ class Aligner:
         top = max(len(self.a.spelled), len(self.b.spelled))
         self.printed = [b"%d%s" % (i, mark) for i in range(top) for mark in (b",", b"|", b";")]
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts, so an idle worker holds the vocabularies alone."""
+        for memory in (self.a.encode.pieces, self.a.encode.chunks):
+            memory.old = {}
+            memory.clear()
+        self.b.known.clear()
+
     def _tokens(self, side, texts: list[str], spelled: list[bytes]):
         """Ids of all texts, their byte lengths, places of the texts, and which texts the tokens spell."""
         coded, same = side(texts)
@@ -239,13 +246,14 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
                     schema.fieldNames(),
                 )
                 at, number = to, number + 1
+        align.forget()
 
     return plain.mapInArrow(run, schema)
 
 
 def align_tokenizers(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_a: str | None = None, path_b: str | None = None,
-    block_bytes: int = 2 << 20, most: int = 250_000,
+    block_bytes: int = 2 << 20, most: int = 120_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: an alignment per document, and the linked id pairs of the corpus.
 
