@@ -20,7 +20,8 @@ class MatrixFrame:
     """``rows`` x ``cols`` with ``entries`` in long form.
 
     An absent entry is a cell that does not exist; an entry holding NULL is a
-    cell whose value is missing. Both states are kept apart.
+    cell whose value is missing. Both states are kept apart. A column may give
+    absent cells a value, see ``operators.defaults``.
     """
 
     rows: DataFrame

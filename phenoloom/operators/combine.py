@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phenoloom.model import PHENO_DESCRIPTION, PHENO_KEY, SEXES, MatrixFrame, pheno_key
+from phenoloom.operators.defaults import FOR, GROUPS, VALUE, dense_cells, with_default
 from phenoloom.operators.icd import prefer_truncated
 from phenoloom.operators.munging import case_counts
 from phenoloom.operators.reshape import densify, fill_cols, sex_values, union_cols
@@ -110,7 +111,7 @@ def _showcase(frame, covariates, name, legacy):
     return _assemble(frame, covariates, key, texts, [F.col(s).cast("double").alias(s) for s in SEXES], counts)
 
 
-def _icd(frame, covariates, name, legacy, truncated_codes_only=True, store_false=True):
+def _icd(frame, covariates, name, legacy, truncated_codes_only=True, store_false=True, implicit=False):
     if truncated_codes_only:
         frame = prefer_truncated(frame)
     has_version = "icd_version" in frame.cols.columns
@@ -124,6 +125,8 @@ def _icd(frame, covariates, name, legacy, truncated_codes_only=True, store_false
         texts["description_more"] = F.concat(F.lit("truncated: "), F.col("truncated").cast("string"))
     sex, case = F.col("sex"), F.col("any_codes")
     full = _assemble(frame, covariates, key, texts, sex_values(case, sex), case_counts(case, sex))
+    if implicit:
+        return with_default(full, 0.0, name)
     if not store_false:
         return full
     known = full.with_(entries=full.entries.select(ROW, *PHENO_KEY, "both_sexes"))
@@ -204,24 +207,32 @@ def combine_sources(
     truncated_codes_only: bool = True,
     legacy: bool = False,
     store_false: bool = True,
+    implicit: bool = False,
 ) -> MatrixFrame:
     """Side by side matrix of all sources.
 
     ``covariates`` is keyed by userId and holds ``sex`` (0 female, 1 male). Rows
     are those of any source (``legacy``: of the first). People without any
-    prescription get 0 in prescription columns. ``store_false=False`` leaves the
-    false cells of diagnosis codes unstored.
+    prescription get 0 in prescription columns.
+
+    With ``implicit`` no zero is stored: absent cells of diagnosis codes count as
+    0 for the rows of their source, those of prescriptions for all (see
+    ``defaults``). Otherwise both are made, a record for every person and column;
+    ``store_false=False`` just leaves out the false cells of diagnosis codes.
     """
     unique = one_per_key(covariates, [ROW])
     parts = []
     for name, frame in sources.items():
         if "icd_code" in frame.col_key:
-            part = _icd(frame, unique, name, legacy, truncated_codes_only, store_false)
+            part = _icd(frame, unique, name, legacy, truncated_codes_only, store_false, implicit)
         else:
             part = NORMALISERS.get(name, _measured)(frame, unique, name, legacy)
+        if implicit and name == "prescriptions":
+            zeros = {s: F.coalesce(s, F.lit(0.0)) for s in SEXES}
+            part = with_default(part.with_(entries=part.entries.withColumns(zeros)), 0.0)
         parts.append(part)
     full = union_cols(parts, "left" if legacy else "outer")
-    if "prescriptions" in sources:
+    if "prescriptions" in sources and not implicit:
         full = fill_cols(full, F.col("trait_type") == "prescriptions", 0.0)
     return full
 
@@ -258,24 +269,47 @@ def _simple(name: str, frame: MatrixFrame) -> MatrixFrame:
         F.col(person).alias(ROW), *[c.alias(k) for k, c in key.items()],
         F.lit(name).alias("data_type"), value.cast("double").alias("value"), case.alias("_case"),
     )
-    cols = cells.groupBy(*key, "data_type").agg(
-        F.count_if("_case").alias("n_cases"), F.count("value").alias("n_defined")
+    counted = cells.groupBy(*key, "data_type").agg(
+        F.count_if("_case").alias("n_cases"), F.count("value").alias("n_defined"), F.count("*").alias("_stored")
     )
     rows = frame.rows.select(F.col(person).alias(ROW))
-    return MatrixFrame(rows, cols, cells.drop("_case"), [ROW], [*key, "data_type"])
-
-
-def combine_sources_simple(sources: dict[str, MatrixFrame]) -> MatrixFrame:
+    names = [*key, "data_type"]
+    if "icd_code" not in frame.col_key:
+        return MatrixFrame(rows, counted.drop("_stored"), cells.drop("_case"), [ROW], names)
+    # A person without the code does not have it: a false cell, in every column.
+    total = rows.distinct().agg(F.count("*").alias("_people"))
+    cols = frame.cols.select(*[c.alias(k) for k, c in key.items()]).distinct().withColumn("data_type", F.lit(name))
+    cols = cols.join(counted, names, "left").fillna(0, ["n_cases", "n_defined", "_stored"])
+    cols = cols.withColumn("n_defined", F.col("n_defined") + total.scalar() - F.col("_stored")).drop("_stored")
+    return with_default(MatrixFrame(rows, cols, cells.drop("_case"), [ROW], names), 0.0, name)
+
+
+def combine_sources_simple(sources: dict[str, MatrixFrame], implicit: bool = False) -> MatrixFrame:
     """Older combination without sexes: value, n_cases and n_defined.
 
     Only rows that all sources share are kept, except that prescriptions add
-    their own rows and get 0 where a person has none.
+    their own rows and get 0 where a person has none. Absent cells of diagnosis
+    codes count as 0 for the people of their source, which ``n_defined`` counts;
+    with ``implicit`` none of the zeros is stored (see ``defaults``).
     """
     full = None
     for name, frame in sources.items():
         part = _simple(name, frame)
+        if implicit and name == "prescriptions":
+            part = with_default(part, 0.0)
         how = "outer" if name == "prescriptions" else "inner"
         full = part if full is None else union_cols([full, part], how)
-    if "prescriptions" in sources:
-        full = fill_cols(full, F.col("data_type") == "prescriptions", 0.0)
+    if not implicit:
+        defaults = VALUE in full.cols.columns
+        if defaults:  # the false cells of diagnosis codes, for the rows of their source
+            having = full.with_(cols=full.cols.filter(F.col(VALUE).isNotNull()))
+            codes = full.col_key
+            having = having.with_(entries=full.entries.join(having.cols.select(*codes), list(codes), "left_semi"))
+            others = full.entries.join(having.cols.select(*codes), list(codes), "left_anti")
+            full = full.with_(
+                rows=full.rows.drop(GROUPS), cols=full.cols.drop(VALUE, FOR),
+                entries=others.unionByName(dense_cells(having, ["value"]).select(*others.columns)),
+            )
+        if "prescriptions" in sources:
+            full = fill_cols(full, F.col("data_type") == "prescriptions", 0.0)
     return full

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from phenoloom.functions.keys import model_family
 from phenoloom.model import PHENO_KEY, SEXES, MatrixFrame
+from phenoloom.operators.defaults import VALUE, dense_cells
 
 KEY_WITHOUT_SEX = [k for k in PHENO_KEY if k != "pheno_sex"]
 
@@ -24,7 +25,8 @@ def export_values(
     one. The value is the entry field of the sex asked for, a whole number for
     binary traits. With a proportion p, phenotypes with at most p female cases
     keep males only and those with at least 1 - p females only.
-    ``frame.rows`` holds ``sex``; ``frame.cols`` the case counts per sex.
+    ``frame.rows`` holds ``sex``; ``frame.cols`` the case counts per sex. Absent
+    cells of columns with a default are written with it (see ``defaults``).
     """
     binary = model_family(F.col("trait_type")) == "binary" if binary is None else binary
     wanted = requests.select(*KEY_WITHOUT_SEX, F.col("pheno_sex").alias("asked")).distinct()
@@ -42,8 +44,16 @@ def export_values(
         .select(*PHENO_KEY, "asked", "_female")
     )
     value = F.coalesce(*[F.when(F.col("asked") == s, F.col(s)) for s in SEXES])
+    entries = frame.entries
+    if VALUE in frame.cols.columns:
+        # The columns asked for are written with a record per row, so their defaults are made here.
+        filled = frame.cols.filter(F.col(VALUE).isNotNull()).join(chosen.select(*PHENO_KEY).distinct(), PHENO_KEY, "left_semi")
+        stored = entries.join(filled.select(*PHENO_KEY), PHENO_KEY, "left_semi")
+        made = dense_cells(frame.with_(cols=filled, entries=stored), SEXES)
+        rest = entries.join(filled.select(*PHENO_KEY), PHENO_KEY, "left_anti")
+        entries = rest.select(*made.columns).unionByName(made)
     joined = (
-        frame.entries.join(chosen, PHENO_KEY)
+        entries.join(chosen, PHENO_KEY)
         .join(frame.rows.select(*frame.row_key, "sex"), list(frame.row_key), "left")
         .withColumn("value", F.when(binary, F.floor(value).cast("double")).otherwise(value))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from phenoloom.model import PHENO_KEY, SEXES, MatrixFrame
+from phenoloom.operators.defaults import merged_groups
 from phenoloom.scale import every_cell, lookup, one_per_key
 
 VALUE_TYPES = {
@@ -147,7 +148,8 @@ def union_cols(frames: Sequence[MatrixFrame], rows: str = "outer") -> MatrixFram
     """Set the columns of several matrices side by side.
 
     ``rows`` keeps the rows of all (``outer``), of the first (``left``) or the
-    rows all matrices share (``inner``).
+    rows all matrices share (``inner``). Defaults of absent cells stay with
+    their columns, and rows keep the groups of all matrices.
     """
     first = frames[0]
     key = list(first.row_key)
@@ -160,6 +162,7 @@ def union_cols(frames: Sequence[MatrixFrame], rows: str = "outer") -> MatrixFram
         all_rows = first.rows
     else:
         all_rows = reduce(lambda a, b: a.join(b, key, "left_semi"), keys[1:], first.rows)
+    all_rows = merged_groups(all_rows, [f.rows for f in frames], key)
     cols = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.cols for f in frames])
     entries = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.entries for f in frames])
     if rows != "outer":

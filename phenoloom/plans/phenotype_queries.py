@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenoloom.functions.dates import epoch_seconds, first_occurrence_seconds
@@ -14,11 +15,12 @@ from phenoloom.functions.keys import (
     results_prefix,
     to_legacy_keys,
 )
-from phenoloom.model import PHENO_KEY, MatrixFrame, pheno_key
-from phenoloom.operators import codings, combine, export, icd, munging, pairwise, registry, reshape
+from phenoloom.model import PHENO_KEY, SEXES, MatrixFrame, pheno_key
+from phenoloom.operators import codings, combine, defaults, export, icd, munging, pairwise, registry, reshape
 from phenoloom.plans.registry import query
 from phenoloom.plans.views import Tables, with_views
 from phenoloom.scale import lookup, one_per_key
+from phenoloom.session import stage
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -427,6 +429,112 @@ def a7(t):
     return full.cols.join(cells, list(full.col_key))
 
 
+# Diagnosis codes of customers rather than of orders, to share the row key.
+_CUSTOMER_CODES = """codes AS (SELECT o_custkey AS user_id, c.source, c.icd_code FROM order_codes c
+    JOIN orders ON c.user_id = o_orderkey), """
+
+
+def customer_diagnoses(t: Tables) -> MatrixFrame:
+    """Codes of customers, with every customer as a row."""
+    person = t.orders.select(F.col("o_orderkey").alias("userId"), "o_custkey")
+    codes = t.codes.join(person, "userId").select(F.col("o_custkey").alias("userId"), "source", "icd_code")
+    frame = icd.icd_matrix(codes, rows=t.samples.select("userId"))
+    texts = {
+        "short_meaning": F.concat(F.lit("short "), "icd_code"), "meaning": F.concat(F.lit("long "), "icd_code"),
+        "icd_version": F.lit("icd10"),
+    }
+    return frame.with_(cols=frame.cols.withColumns(texts))
+
+
+def _diagnosed() -> str:
+    """The codes of customers and their roll-up."""
+    order_codes = with_views("", "codes")[len("WITH "):].strip().replace("codes AS (", "order_codes AS (", 1)
+    return order_codes + ", " + _CUSTOMER_CODES + _ROLLUP
+
+
+def _cell_sums(frame: MatrixFrame, field: str) -> DataFrame:
+    ids = F.col(frame.row_key[0])
+    return defaults.cells_by_value(frame, field, {"ids": ids, "squares": ids * ids})
+
+
+@query(
+    "A7_combine_simple_with_diagnoses",
+    with_views(
+        """, drugs AS (SELECT DISTINCT user_id, event_type AS pheno, substr(event_type, 1, 1) AS coding FROM events),
+        both_levels AS (SELECT * FROM drugs UNION ALL SELECT DISTINCT user_id, coding, coding FROM drugs),
+        people AS (SELECT "userId" AS user_id FROM samples UNION SELECT user_id FROM events),
+        cols AS (SELECT DISTINCT 'icd' AS data_type, icd_code AS pheno, 'icd10' AS coding FROM rolled
+            UNION ALL SELECT DISTINCT 'prescriptions', pheno, coding FROM both_levels),
+        stored AS (SELECT 'icd' AS data_type, icd_code AS pheno, 'icd10' AS coding, user_id FROM rolled
+            UNION ALL SELECT 'prescriptions', pheno, coding, user_id FROM both_levels),
+        counts AS (SELECT data_type, pheno, coding, count(*) AS n_cases,
+            CASE WHEN data_type = 'icd' THEN (SELECT count(*) FROM samples) ELSE count(*) END AS n_defined FROM stored GROUP BY 1, 2, 3)
+        SELECT c.data_type, c.pheno, c.coding, n_cases, n_defined,
+            CASE WHEN s.user_id IS NOT NULL THEN 1.0 WHEN c.data_type = 'prescriptions' OR p.user_id IN (SELECT "userId" FROM samples) THEN 0.0 END::DOUBLE AS value,
+            count(*) AS n, sum(p.user_id)::BIGINT AS ids, sum(p.user_id * p.user_id)::BIGINT AS squares
+        FROM cols c CROSS JOIN people p JOIN counts USING (data_type, pheno, coding)
+        LEFT JOIN stored s ON s.data_type = c.data_type AND s.pheno = c.pheno AND s.coding = c.coding AND s.user_id = p.user_id GROUP BY 1, 2, 3, 4, 5, 6""",
+        "samples", extra=_diagnosed(),
+    ),
+)
+def a7_icd(t):
+    """Diagnoses and prescriptions, no zero stored; every cell counted by its value."""
+    full = combine.combine_sources_simple({"icd": customer_diagnoses(t), "prescriptions": event_drugs(t)}, implicit=True)
+    return full.cols.drop(defaults.VALUE, defaults.FOR).join(_cell_sums(full, "value"), list(full.col_key))
+
+
+_ALL_CELLS = """, drugs AS (SELECT DISTINCT user_id, event_type AS pheno FROM events UNION ALL SELECT DISTINCT user_id, substr(event_type, 1, 1) FROM events),
+        codes3 AS (SELECT user_id, icd_code FROM rolled
+            UNION ALL SELECT user_id, icd_code FROM icd WHERE length(icd_code) = 3 AND icd_code NOT IN (SELECT icd_code FROM short)),
+        stored AS (SELECT 'ICDTYPE' AS trait_type, icd_code AS phenocode, user_id, 1.0 AS v FROM codes3
+            UNION ALL SELECT 'prescriptions', pheno, user_id, 1.0 FROM drugs
+            UNION ALL SELECT 'biomarkers', pheno, user_id, value FROM measures),
+        people AS (PEOPLE),
+        cols AS (SELECT DISTINCT trait_type, phenocode FROM stored),
+        cells AS (SELECT c.trait_type, c.phenocode, p.user_id, sex, s.v, s.user_id IS NOT NULL AS has, x."userId" IS NOT NULL AS person
+            FROM cols c CROSS JOIN people p LEFT JOIN samples x ON x."userId" = p.user_id
+            LEFT JOIN stored s ON s.trait_type = c.trait_type AND s.phenocode = c.phenocode AND s.user_id = p.user_id)
+        SELECT trait_type, phenocode, field, CASE
+            WHEN trait_type = 'prescriptions' THEN CASE WHEN has AND (field = 'both_sexes' OR sex = CASE field WHEN 'females' THEN 0 ELSE 1 END) THEN 1.0 ELSE 0.0 END
+            WHEN field <> 'both_sexes' AND sex IS DISTINCT FROM CASE field WHEN 'females' THEN 0 ELSE 1 END THEN NULL
+            WHEN has THEN v WHEN trait_type = 'ICDTYPE' AND person THEN 0.0 END::DOUBLE AS value,
+            count(*) AS n, sum(user_id)::BIGINT AS ids, sum(user_id * user_id)::BIGINT AS squares
+        FROM cells CROSS JOIN (SELECT unnest(['both_sexes', 'females', 'males']) AS field) GROUP BY 1, 2, 3, 4"""
+
+
+def all_cells(t: Tables, legacy: bool) -> DataFrame:
+    """Every cell of three sources side by side, by its value, with no zero stored."""
+    measures = t.measures.withColumnRenamed("user_id", "userId")
+    biomarkers = MatrixFrame(
+        measures.select("userId").distinct(),
+        measures.select("pheno").distinct().withColumns({"Field": F.lit("field"), "Path": F.lit("path")}),
+        measures, ["userId"], ["pheno"],
+    )
+    sources = {"biomarkers": biomarkers, "icd": customer_diagnoses(t), "prescriptions": event_drugs(t)}
+    full = combine.combine_sources(sources, t.samples, legacy=legacy, implicit=True)
+    full = full.with_(cols=stage(full.cols), entries=stage(full.entries))
+    fields = [_cell_sums(full, s).withColumn("field", F.lit(s)) for s in SEXES]
+    union = fields[0].unionByName(fields[1]).unionByName(fields[2])
+    return union.drop("pheno_sex", "coding", "modifier")
+
+
+def _all_cells_sql(people: str) -> str:
+    return with_views(_ALL_CELLS.replace("ICDTYPE", "icd10").replace("PEOPLE", people), "samples", "measures", extra=_diagnosed())
+
+
+@query(
+    "A8_combine_cells",
+    _all_cells_sql('SELECT "userId" AS user_id FROM samples UNION SELECT user_id FROM events UNION SELECT user_id FROM measures'),
+)
+def a8_cells(t):
+    return all_cells(t, legacy=False)
+
+
+@query("A9_combine_cells_legacy", _all_cells_sql("SELECT DISTINCT user_id FROM measures"))
+def a9_cells(t):
+    return all_cells(t, legacy=True)
+
+
 def event_drugs(t: Tables) -> MatrixFrame:
     """Events as prescriptions: the type is the drug, its first letter the category."""
     records = t.events.select(
@@ -465,11 +573,6 @@ _A8_BODY = """
           SELECT user_id, icd_code, false FROM icd WHERE length(icd_code) = 3 AND icd_code NOT IN (SELECT icd_code FROM short)) codes3
     LEFT JOIN samples ON user_id = "userId" GROUP BY icd_code, truncated"""
 
-# Diagnosis codes of customers rather than of orders, to share the row key.
-_CUSTOMER_CODES = """codes AS (SELECT o_custkey AS user_id, c.source, c.icd_code FROM order_codes c
-    JOIN orders ON c.user_id = o_orderkey), """
-
-
 def _combined_sql(first: str, icd_type: str) -> str:
     order_codes = with_views("", "codes")[len("WITH "):].strip().replace("codes AS (", "order_codes AS (", 1)
     return with_views(
