@@ -50,16 +50,22 @@ def add_probabilities(entries: DataFrame, name: str = "GP") -> DataFrame:
 def impute_probabilities(
     entries: DataFrame, name: str = "GP", mean_impute: bool = True, key: Sequence[str] = tuple(VARIANT)
 ) -> DataFrame:
-    """Fill missing probabilities with the variant's mean, or with hom-ref."""
+    """Fill missing probabilities with the variant's mean, or with hom-ref.
+
+    The mean is taken element by element, as partial sums per variant; a missing
+    element counts for none. One pass finds how many elements there are at most
+    (the genotype classes of the variant with most alleles); then entries and
+    means share one exchange by variant, and none if the entries come in that
+    way. The entries of a hot variant are its cohort, each once.
+    """
     if not mean_impute:
         return entries.withColumn(name, F.coalesce(name, F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0))))
-    means = (
-        entries.filter(F.col(name).isNotNull())
-        .select(*key, F.posexplode(name).alias("_i", "_p"))
-        .groupBy(*key, "_i")
-        .agg(F.avg("_p").alias("_mean"))
-        .groupBy(*key)  # one record per genotype class of a variant
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_mean"))), lambda s: s["_mean"]).alias("_means"))
-    )
-    filled = entries.join(means, list(key), "left")
+    width = entries.agg(F.max(F.size(name))).first()[0]
+    if not width:  # nothing to take a mean of
+        return entries
+    dealt = entries.repartition(*key)
+    classes = [F.avg(F.get(name, F.lit(i))).alias(f"_{i}") for i in range(width)]
+    means = dealt.groupBy(*key).agg(F.max(F.size(name)).alias("_n"), *classes)
+    means = means.select(*key, F.when(F.col("_n") >= 0, F.slice(F.array(*[F.col(f"_{i}") for i in range(width)]), 1, F.col("_n"))).alias("_means"))
+    filled = dealt.join(means, list(key), "left")
     return filled.withColumn(name, F.coalesce(F.col(name), F.col("_means"))).drop("_means")

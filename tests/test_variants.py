@@ -152,3 +152,19 @@ def test_worst_by_gene_stays_in_the_row(spark):
     worst = variants.worst_by_gene(df, ["contig", "pos"])
     assert {(r.pos, r.gene_id, r.transcript_id) for r in worst.collect()} == {(5, "G1", "t2"), (5, None, "t5"), (5, "G2", "t6")}
     assert "Exchange" not in worst._jdf.queryExecution().executedPlan().toString()
+
+
+def test_means_share_one_exchange(spark):
+    """Entries cross once, whatever the number of genotype classes; variants without a known value stay missing."""
+    from phenoloom.operators import genotypes
+
+    rows = [("1", 5, ["A", "C"], s, g) for s, g in (("a", [1.0, 0.0, 0.0]), ("b", [0.0, 0.5, 0.5]), ("c", None), ("d", [None, 1.0, 0.0]))]
+    rows += [("1", 6, ["A", "C", "G"], s, g) for s, g in (("a", [0.0, 0.0, 0.0, 0.0, 0.0, 1.0]), ("b", None))] + [("2", 1, ["A", "C"], "a", None)]
+    entries = spark.createDataFrame(rows, "contig string, pos int, alleles array<string>, sample string, GP array<double>")
+    filled = genotypes.impute_probabilities(entries)
+    got = {(r.pos, r["sample"]): r.GP for r in filled.collect()}
+    assert got[5, "c"] == [0.5, 0.5, 1 / 6] and got[5, "a"] == [1.0, 0.0, 0.0] and got[5, "d"] == [None, 1.0, 0.0]
+    assert got[6, "b"] == [0.0, 0.0, 0.0, 0.0, 0.0, 1.0] and got[1, "a"] is None
+    plan = filled._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") + plan.count("BroadcastExchange") <= 2 and "Generate" not in plan
+    assert genotypes.impute_probabilities(entries.filter("pos = 1")).collect()[0].GP is None
