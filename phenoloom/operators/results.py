@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from phenoloom.functions.genome import split_locus_alleles
 from phenoloom.functions.normal import lambda_gc
 from phenoloom.model import PHENO_GWAS, PHENO_KEY, MatrixFrame
-from phenoloom.scale import level_histogram, lookup, nested_middles, one_per_key
+from phenoloom.scale import level_code, level_histogram, lookup, nested_middles, one_per_key, sets_of
 
 # Cutoffs and thresholds of the quality control.
 AC_CUTOFFS = [0, 1, 2, 3, 4, 5, 10, 20, 50, 100]
@@ -304,81 +304,100 @@ def hits_per_phenotype(hits: DataFrame, threshold: float = SIGNIFICANT) -> DataF
     return counts.orderBy(F.desc("n_sig"), "phenotype")
 
 
-def lambda_by_cutoff(
-    entries: DataFrame,
-    pheno_key: Sequence[str],
-    pvalue: str,
-    measure: str,
-    cutoffs: Sequence[float],
-    threshold: float = SIGNIFICANT,
+def lambda_by_cutoffs(
+    entries: DataFrame, pheno_key: Sequence[str], pvalue: str, measures: dict[str, Sequence[float]], threshold: float = SIGNIFICANT
 ) -> DataFrame:
-    """λ, number of variants and of significant ones among the entries whose
-    ``measure`` reaches each cutoff; one record per phenotype and cutoff.
+    """λ, number of variants and of significant ones among the entries that reach
+    each cutoff of each of the ``measures``; one record per phenotype, ``measure``
+    and ``cutoff``.
 
     Counts include entries without a p-value; λ does not. Two passes over the
-    entries: one histogram gives the counts and the bins of the middles, the
-    second ranks the values of those bins.
+    entries for all measures: one joint histogram of their levels gives the
+    counts and the bins of the middles, the second ranks the values of those
+    bins.
     """
-    bounds = [float(c) for c in sorted(cutoffs)]
-    x = F.col(measure)
-    # Spark orders NaN above all numbers; a NaN measure reaches no cutoff.
-    reached = reduce(
-        Column.__add__, [F.when((x >= c) & ~F.isnan(x), 1).otherwise(0) for c in bounds]
-    )
-    p = F.col(pvalue)
-    narrow = entries.select(*pheno_key, p.alias("_p"), reached.alias("_reached"))
+    bounds = {name: [float(c) for c in sorted(cutoffs)] for name, cutoffs in measures.items()}
+    sizes = [len(b) for b in bounds.values()]
+    levels = []
+    for name, cutoffs in bounds.items():
+        x = F.col(name)
+        # Spark orders NaN above all numbers; a NaN measure reaches no cutoff.
+        levels.append(reduce(Column.__add__, [F.when((x >= c) & ~F.isnan(x), 1).otherwise(0) for c in cutoffs]) - 1)
+    narrow = entries.select(*pheno_key, F.col(pvalue).alias("_p"), level_code(levels, sizes).alias("_code"))
     hit = (F.col("_p") < threshold) & ~F.isnan("_p")
-    level = F.col("_reached") - 1
-    histogram = level_histogram(narrow, pheno_key, "_p", level, F.count_if(hit).alias("_s"))
-    # Small records, spread over the cutoffs only here.
-    cutoff = F.posexplode(F.array(*[F.lit(c) for c in bounds])).alias("j", "cutoff")
-    within = F.col("_level") >= F.col("j")
+    histogram = level_histogram(narrow, pheno_key, "_p", F.col("_code"), F.count_if(hit).alias("_s"))
+    # Small records, spread over the cutoffs only here; every cutoff has a record.
+    names = [(name, c) for name, cutoffs in bounds.items() for c in cutoffs]
+    cutoff = F.posexplode(F.array(*[F.struct(F.lit(n).alias("measure"), F.lit(c).alias("cutoff")) for n, c in names])).alias("j", "_at")
+    within = F.array_contains(sets_of(F.col("_level"), sizes), F.col("j"))
     counts = (
         histogram.groupBy("_group", "_level")
         .agg(F.sum("_c").alias("_n"), F.sum("_s").alias("_s"))
         .select("_group", "_level", "_n", "_s", cutoff)
-        .groupBy("_group", "j", "cutoff")
+        .groupBy("_group", "j", "_at")
         .agg(
             F.sum(F.when(within, F.col("_n")).otherwise(0)).alias("n_variants"),
             F.sum(F.when(within, F.col("_s")).otherwise(0)).alias("n_sig"),
         )
-        .select(*[F.col("_group").getField(k).alias(k) for k in pheno_key], "j", "cutoff", "n_variants", "n_sig")
+        .select(*[F.col("_group").getField(k).alias(k) for k in pheno_key], "j", "_at.measure", "_at.cutoff", "n_variants", "n_sig")
     )
-    middles = nested_middles(narrow, pheno_key, "_p", level, len(bounds), histogram).select(
+    middles = nested_middles(narrow, pheno_key, "_p", F.col("_code"), sizes, histogram).select(
         *pheno_key, "j", lambda_gc(F.col("lower"), F.col("upper")).alias("lambda_gc")
     )
     # In a struct, missing keys are equal to each other.
     group = F.struct(*pheno_key)
     middles = middles.select(group.alias("_g"), "j", "lambda_gc")
     return counts.withColumn("_g", group).join(middles, ["_g", "j"], "left").select(
-        *pheno_key, "cutoff", "lambda_gc", "n_variants", "n_sig"
+        *pheno_key, "measure", "cutoff", "lambda_gc", "n_variants", "n_sig"
     )
 
 
-def lambda_by_frequency(
-    entries: DataFrame, pheno_cols: DataFrame, by: str = "ac", pheno_key: Sequence[str] = tuple(PHENO_KEY)
+def lambda_by_cutoff(
+    entries: DataFrame,
+    pheno_key: Sequence[str],
+    pvalue: str,
+    measure: str,
+    cutoffs: Sequence[float],
+    threshold: float = SIGNIFICANT,
+) -> DataFrame:
+    """:func:`lambda_by_cutoffs` of one measure."""
+    return lambda_by_cutoffs(entries, pheno_key, pvalue, {measure: cutoffs}, threshold).drop("measure")
+
+
+FREQUENCIES = {"ac": ("ac_cases", AC_CUTOFFS, "by_case_ac"), "af": ("af_total", AF_CUTOFFS, "by_af")}
+
+
+def lambda_by_frequencies(
+    entries: DataFrame, pheno_cols: DataFrame, by: Sequence[str] = ("ac", "af"), pheno_key: Sequence[str] = tuple(PHENO_KEY)
 ) -> DataFrame:
-    """λ by expected case allele count (``ac``) or overall frequency (``af``).
+    """λ by expected case allele count (``ac``) and overall frequency (``af``),
+    all in the same two passes.
 
     ``log_pvalue`` on the phenotypes (default false) says that p-values are
-    stored as logarithms. One record per phenotype and cutoff.
+    stored as logarithms. One record per phenotype, ``measure`` and ``cutoff``.
     """
     key = list(pheno_key)
     fields = [c for c in ("n_cases", "log_pvalue") if c in pheno_cols.columns and c not in entries.columns]
     joined = lookup(entries, pheno_cols.select(*key, *fields), key) if fields else entries
     logged = F.coalesce(F.col("log_pvalue"), F.lit(False)) if "log_pvalue" in joined.columns else F.lit(False)
+    values = {"ac_cases": F.col("`AF.Cases`") * F.col("n_cases") * 2, "af_total": F.col("AF_Allele2")}
+    used = [FREQUENCIES[b] for b in by]
     prepared = joined.select(
-        *key,
-        F.when(logged, F.exp("Pvalue")).otherwise(F.col("Pvalue")).alias("p"),
-        (F.col("`AF.Cases`") * F.col("n_cases") * 2).alias("ac_cases"),
-        F.col("AF_Allele2").alias("af_total"),
-    )
-    measure, cutoffs, suffix = (
-        ("ac_cases", AC_CUTOFFS, "by_case_ac") if by == "ac" else ("af_total", AF_CUTOFFS, "by_af")
+        *key, F.when(logged, F.exp("Pvalue")).otherwise(F.col("Pvalue")).alias("p"), *[values[m].alias(m) for m, _, _ in used]
     )
-    table = lambda_by_cutoff(prepared, key, "p", measure, cutoffs)
+    table = lambda_by_cutoffs(prepared, key, "p", {m: cutoffs for m, cutoffs, _ in used})
+    named = reduce(lambda e, b: F.when(F.col("measure") == FREQUENCIES[b][0], b).otherwise(e), by, F.lit(None).cast("string"))
+    return table.withColumn("measure", named)
+
+
+def lambda_by_frequency(
+    entries: DataFrame, pheno_cols: DataFrame, by: str = "ac", pheno_key: Sequence[str] = tuple(PHENO_KEY)
+) -> DataFrame:
+    """:func:`lambda_by_frequencies` of ``ac`` or ``af`` alone, with their own column names."""
+    table = lambda_by_frequencies(entries, pheno_cols, [by], pheno_key)
+    suffix = FREQUENCIES[by][2]
     return table.select(
-        *key,
+        *pheno_key,
         F.col("cutoff").alias(by),
         *[F.col(m).alias(f"{m}_{suffix}") for m in ("lambda_gc", "n_variants", "n_sig")],
     )

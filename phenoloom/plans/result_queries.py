@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import math
 
 from pyspark.sql import functions as F
@@ -219,6 +221,25 @@ def m4(t):
     return long.drop("trait_type", "coding", "modifier").withColumn("lambda_gc_by_af", F.round("lambda_gc_by_af", 6))
 
 
+def _both_lambda_sql() -> str:
+    heads, selects = "", []
+    for by, cutoffs in (("ac", results.AC_CUTOFFS), ("af", results.AF_CUTOFFS)):
+        single = _lambda_sql("phenocode, pheno_sex", "stats", by, cutoffs, results.SIGNIFICANT, ("cutoff", "lambda_gc", "n_variants", "n_sig"))
+        for name in ("reached", "sorted", "middles", "every_cutoff"):
+            single = re.sub(rf"\b{name}\b", f"{name}_{by}", single)
+        head, select = single.rsplit("\n    SELECT ", 1)
+        heads += head
+        selects.append(f"SELECT '{by}' AS measure, {select}")
+    return heads + "\n" + " UNION ALL ".join(selects)
+
+
+@query("A17_M4_lambda_by_both", with_views(_both_lambda_sql(), "sumstats", extra=_LAMBDA_STATS))
+def lambda_both(t):
+    """Case counts and frequencies by the same two passes."""
+    table = results.lambda_by_frequencies(*_lambda_inputs(t))
+    return table.drop("trait_type", "coding", "modifier").withColumn("lambda_gc", F.round("lambda_gc", 6))
+
+
 def variant_scan(t: Tables, imputed: bool):
     """Single-variant test output of many phenotypes, both shapes."""
     ident = F.concat(

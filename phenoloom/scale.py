@@ -82,14 +82,45 @@ def previous_row(
 BINS = 256
 
 
-def _ranked_sets(counts: DataFrame, part: str, outer: Sequence[str]) -> DataFrame:
-    """(outer, part, j, before, inside, n) from counts per (outer, part, level).
+def level_code(levels: Sequence[Column], n_levels: Sequence[int]) -> Column:
+    """One whole number for several levels, each from -1 (in no set) up; 0 if all are -1."""
+    code, stride = F.lit(0), 1
+    for level, n in zip(levels, n_levels):
+        code = code + (level.cast("int") + 1) * stride
+        stride *= n + 1
+    return code.cast("int")
 
-    ``inside`` counts the values of set ``level >= j`` in the part, ``before``
-    those in earlier parts and ``n`` all of them.
+
+def _levels(code: Column, n_levels: Sequence[int]) -> list[Column]:
+    out, stride = [], 1
+    for n in n_levels:
+        out.append((F.floor(code / stride) % (n + 1) - 1).cast("int"))
+        stride *= n + 1
+    return out
+
+
+def sets_of(code: Column, n_levels: Sequence[int]) -> Column:
+    """Numbers of the sets a code is in: of each level the sets up to it, one level after the other."""
+    parts, first = [], 0
+    for level, n in zip(_levels(code, n_levels), n_levels):
+        parts.append(F.when(level >= 0, F.sequence(F.lit(first), level + first)).otherwise(F.array().cast("array<int>")))
+        first += n
+    return F.concat(*parts)
+
+
+def _members(code: Column, n_levels: Sequence[int]) -> list[Column]:
+    """Whether a code is in each of the sets."""
+    return [level >= j for level, n in zip(_levels(code, n_levels), n_levels) for j in range(n)]
+
+
+def _ranked_sets(counts: DataFrame, part: str, outer: Sequence[str], n_levels: Sequence[int]) -> DataFrame:
+    """(outer, part, j, before, inside, n) from counts per (outer, part, code).
+
+    ``inside`` counts the values of set ``j`` in the part, ``before`` those in
+    earlier parts and ``n`` all of them.
     """
     sets = (
-        counts.select(*outer, part, "_c", F.explode(F.sequence(F.lit(0), F.col("_level"))).alias("j"))
+        counts.select(*outer, part, "_c", F.explode(sets_of(F.col("_level"), n_levels)).alias("j"))
         .groupBy(*outer, part, "j")
         .agg(F.sum("_c").alias("inside"))
     )
@@ -101,7 +132,7 @@ def _ranked_sets(counts: DataFrame, part: str, outer: Sequence[str]) -> DataFram
 
 
 def level_histogram(df: DataFrame, group: Sequence[str], value: str, level: Column, *more: Column) -> DataFrame:
-    """Rows per group, level and bin of [0, 1], with the aggregates ``more``; staged.
+    """Rows per group, level code and bin of [0, 1], with the aggregates ``more``; staged.
 
     Values outside fall in the end bins, NULL and NaN in the bin NULL.
     """
@@ -122,9 +153,14 @@ def _histogram_key(group: Sequence[str], value: str, level: Column) -> list[Colu
 
 
 def nested_middles(
-    df: DataFrame, group: Sequence[str], value: str, level: Column, n_levels: int, histogram: DataFrame | None = None
+    df: DataFrame, group: Sequence[str], value: str, level: Column, n_levels: int | Sequence[int], histogram: DataFrame | None = None
 ) -> DataFrame:
-    """Exact middle values of the nested subsets ``level >= j`` of every group.
+    """Exact middle values of nested subsets of every group.
+
+    ``level`` is a level with ``n_levels`` sets, or the ``level_code`` of several
+    with so many each; set ``j`` of a level holds the rows that reach it, and the sets of all
+    levels are numbered one after the other, so several nestings take the same
+    two passes.
 
     Returns ``group``, ``j``, ``n``, ``lower``, ``upper``: the number of values
     and the two middle ones (equal for odd ``n``). NULL and NaN values are left
@@ -136,15 +172,17 @@ def nested_middles(
     the rest is sorted over tiles, so no group or bin is gathered in one task
     however the values are spread.
     """
+    if isinstance(n_levels, int):
+        level, n_levels = level_code([level], [n_levels]), [n_levels]
     if histogram is None:
         histogram = level_histogram(df, group, value, level)
-    used = "_bin IS NOT NULL AND _level >= 0"
+    used = "_bin IS NOT NULL AND _level > 0"
     narrow = df.select(F.col(value).alias("_v"), *_histogram_key(group, value, level)).filter(used)
     names, group = group, ["_group"]
     histogram = histogram.filter(used)
     # At most two bins per group and set.
     targets = (
-        _ranked_sets(histogram, "_bin", group)
+        _ranked_sets(histogram, "_bin", group, n_levels)
         .withColumns({"lo": F.expr("(n + 1) div 2"), "hi": F.expr("n div 2 + 1")})
         .filter("before < hi AND before + inside >= lo")
         .select(*group, "_bin", "j", "n", "lo", "hi", F.col("before").alias("below"))
@@ -159,17 +197,17 @@ def nested_middles(
     tiled = tiles(weighted, [*where, "_v", "_level"])
     sums = tiled.groupBy(TILE, *where, "_level").agg(F.sum("_n").alias("_c"))
     needs = (
-        _ranked_sets(sums, TILE, where)
+        _ranked_sets(sums, TILE, where, n_levels)
         .drop("n")
         .join(targets, [*where, "j"])
         .withColumn("before", F.col("before") + F.col("below"))
         .filter("before < hi AND before + inside >= lo")
-        .groupBy(TILE, *where)  # at most n_levels small records per tile and bin
+        .groupBy(TILE, *where)  # at most a small record per set, tile and bin
         .agg(F.collect_list(F.struct("j", "before", "n", "lo", "hi")).alias("_needs"))
     )
     running = Window.partitionBy(TILE, *where).orderBy("_v", "_level").rowsBetween(Window.unboundedPreceding, 0)
     sums_so_far = F.array(
-        *[F.sum(F.when(F.col("_level") >= j, F.col("_n"))).over(running) for j in range(n_levels)]
+        *[F.sum(F.when(member, F.col("_n"))).over(running) for member in _members(F.col("_level"), n_levels)]
     )
     # Hash the few needs against the tiles: the tiles are shuffled once, by the
     # keys the window needs as well.
@@ -179,7 +217,7 @@ def nested_middles(
     last = F.col("before") + F.get("_so_far", F.col("j"))
     picks = (
         ranked.select(*group, "_v", "_level", "_n", "_so_far", F.inline("_needs"))
-        .filter("_level >= j")
+        .filter(F.array_contains(sets_of(F.col("_level"), n_levels), F.col("j")))
         .withColumns({"last": last, "first": last - F.col("_n") + 1})
         .withColumns({"is_lower": F.expr("lo BETWEEN first AND last"), "is_upper": F.expr("hi BETWEEN first AND last")})
         .filter("is_lower OR is_upper")
