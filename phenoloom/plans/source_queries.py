@@ -15,6 +15,7 @@ from phenoloom.plans.registry import query
 from phenoloom.plans.result_queries import _MARKERS, _SINGLE, gene_scan, variant_scan
 from phenoloom.plans.variant_queries import _GROUPS, _WORST
 from phenoloom.plans.views import Tables, with_views
+from phenoloom.scale import number_rows
 from phenoloom.session import staging_root
 from phenoloom.sinks import writers
 from phenoloom.sources import catalogue, readers
@@ -315,6 +316,57 @@ def k6(t):
     return t.spark.read.text(f"{path}/body")
 
 
+@query(
+    "K6_vcf_one_folder",
+    with_views(
+        """, lines AS (SELECT DISTINCT contig, pos FROM genotypes),
+        ranked AS (SELECT *, row_number() OVER (ORDER BY replace(contig, 'chr', '')::INTEGER, contig, pos) + 2 AS n FROM lines)
+        SELECT n, contig || ':' || pos AS place FROM ranked
+        UNION ALL SELECT 0, '##fileformat=VCFv4.2' UNION ALL SELECT 1, '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">'
+        UNION ALL SELECT 2, '#CHROM:' || (SELECT 9 + count(DISTINCT sample) FROM genotypes)""",
+        "genotypes",
+    ),
+)
+def k6_one(t):
+    """Every line of the written folder by its place in file order: header first, chr2 before chr10."""
+    path = folder(t)
+    writers.write_vcf(t.genotypes, t.genotypes.select("sample").distinct(), path, layout="one")
+    lines = readers.read_lines(t.spark, path)
+    placed = number_rows(lines, [], ["file", "block", "line"], "at")
+    parts = F.split("value", "\t")
+    place = F.when(F.col("value").startswith("##"), F.col("value")).when(
+        F.col("value").startswith("#"), F.concat_ws(":", parts[0], F.size(parts).cast("string"))
+    ).otherwise(F.concat_ws(":", parts[0], F.get(parts, F.lit(1))))
+    return placed.select((F.col("at") - 1).alias("n"), place.alias("place"))
+
+
+_SPANS = """, spans AS (SELECT gene_id, gene_symbol, min(contig) AS contig, min(pos) AS start, max(pos) AS "end" FROM worst
+        WHERE gene_id LIKE 'ENSG%' GROUP BY 1, 2)
+    SELECT contig, start, "end", gene_id, gene_symbol, annotation, variant, base AS group_id FROM grouped JOIN spans USING (gene_id, gene_symbol)"""
+
+
+def keyed_groups(t: Tables) -> str:
+    genes, members = variants.gene_map(t.transcripts)
+    path = folder(t)
+    writers.write_gene_groups(genes, variants.gene_groups(members), path, bin_width=10_000)
+    return path
+
+
+@query("G1_groups_of_region", with_views(_WORST + _GROUPS + _SPANS + " WHERE contig = 'chr3' AND start >= 2000 AND start < 120000", "transcripts"))
+def groups_of_region(t):
+    return readers.read_groups_of_region(t.spark, keyed_groups(t), "chr3", 2000, 120000).drop("bin")
+
+
+@query(
+    "G1_groups_of_gene",
+    with_views(_WORST + _GROUPS + _SPANS + " WHERE gene_symbol = (SELECT min(gene_symbol) FROM spans)", "transcripts"),
+)
+def groups_of_gene(t):
+    path = keyed_groups(t)
+    symbol = t.spark.read.parquet(f"{path}/genes").agg(F.min("gene_symbol")).first()[0]
+    return readers.read_groups_of_gene(t.spark, path, symbol).drop("bin")
+
+
 @query(
     "S_log_text_scan",
     with_views("SELECT count(DISTINCT k) AS n_lines, min(n::VARCHAR) AS lowest FROM log_facts", "log_facts"),

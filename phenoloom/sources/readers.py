@@ -286,3 +286,23 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("line"),
         "value",
     )
+
+
+def read_groups_of_region(spark: SparkSession, path: str, contig: str, start: int, end: int) -> DataFrame:
+    """Gene groups whose gene starts in ``[start, end)`` of a contig, from the region's bins alone."""
+    widths = spark.read.parquet(f"{path}/genes").select("bin_width").limit(1).collect()
+    groups = spark.read.parquet(f"{path}/groups").withColumn("contig", F.col("contig").cast("string"))
+    if not widths:  # no genes
+        return groups.filter("false")
+    width = widths[0]["bin_width"]
+    within = (F.col("bin") >= start // width) & (F.col("bin") <= (end - 1) // width)
+    return groups.filter((F.col("contig") == contig) & within & (F.col("start") >= start) & (F.col("start") < end))
+
+
+def read_groups_of_gene(spark: SparkSession, path: str, symbol: str) -> DataFrame:
+    """Gene groups of the genes with a symbol, from the bins those start in."""
+    genes = spark.read.parquet(f"{path}/genes").filter(F.col("gene_symbol") == symbol)
+    found = genes.select("gene_id", "contig", "bin").limit(1000).collect()  # genes that share a symbol are few
+    groups = spark.read.parquet(f"{path}/groups").withColumn("contig", F.col("contig").cast("string"))
+    places = [(F.col("contig") == r["contig"]) & (F.col("bin") == r["bin"]) & (F.col("gene_id") == r["gene_id"]) for r in found]
+    return groups.filter(reduce(lambda a, b: a | b, places, F.lit(False)) & (F.col("gene_symbol") == symbol))

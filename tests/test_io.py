@@ -191,3 +191,46 @@ def test_export_falls_back_to_both_sexes_and_single_sex(spark):
     assert export.export_values(frame, both, 0.05).count() == 6
     flat = frame.with_(cols=frame.cols.withColumns({"n_cases_females": F.lit(0), "n_cases_males": F.lit(0)}))
     assert export.export_values(flat, both, 0.1).count() == 6  # no cases at all: no restriction
+
+
+def test_vcf_in_one_folder(spark, tmp_path):
+    """Files in order: header first, chromosome 2 before 10, one order over the parts."""
+    rows = [(f"chr{c}", p, ["A", "C"], s, [0, 1]) for c in ("10", "2", "X", "1") for p in range(1, 40) for s in ("s1", "s2")]
+    entries = spark.createDataFrame(rows, "contig string, pos int, alleles array<string>, sample string, GT array<int>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_vcf(entries, entries.select("sample").distinct(), str(tmp_path / "one"), layout="one")
+        writers.write_vcf(entries.limit(0), entries.select("sample").limit(0), str(tmp_path / "none"), layout="one")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted((tmp_path / "one").glob("part-*"))
+    lines = [line for p in parts for line in p.read_text().splitlines()]
+    assert len(parts) > 2 and lines[0] == "##fileformat=VCFv4.2" and lines[1].startswith("##FORMAT")
+    assert lines[2].split("\t")[:2] == ["#CHROM", "POS"] and lines[2].split("\t")[-2:] == ["s1", "s2"]
+    found = [tuple(x.split("\t")[:2]) for x in lines[3:]]
+    assert found == [(f"chr{c}", str(p)) for c in ("1", "2", "10", "X") for p in range(1, 40)]
+    empty = [line for p in sorted((tmp_path / "none").glob("part-*")) for line in p.read_text().splitlines()]
+    assert len(empty) == 3 and empty[2].split("\t") == writers.VCF_COLUMNS
+    with pytest.raises(ValueError):
+        writers.write_vcf(entries, entries.select("sample"), str(tmp_path / "x"), layout="odd")
+
+
+def test_gene_groups_by_region_and_gene(spark, tmp_path):
+    """A region reads its bins alone, a gene its own bin; genes that share a symbol all count."""
+    genes = spark.createDataFrame(
+        [(f"G{k}", "DUP" if k in (3, 17) else f"S{k}", f"chr{k % 3}", 1000 * k, 1000 * k + 500) for k in range(60)],
+        "gene_id string, gene_symbol string, contig string, start int, end int",
+    )
+    groups = genes.selectExpr("gene_id", "gene_symbol", "'pLoF' AS annotation", "concat(contig, ':', start) AS variant", "concat(gene_id, '_pLoF') AS group_id")
+    writers.write_gene_groups(genes, groups, str(tmp_path), bin_width=5000)
+    region = readers.read_groups_of_region(spark, str(tmp_path), "chr1", 4000, 19000)
+    assert sorted(r.gene_id for r in region.collect()) == ["G10", "G13", "G16", "G4", "G7"]
+    plan = region._jdf.queryExecution().executedPlan().toString()
+    pruned = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "bin" in pruned and "chr1" in pruned
+    scan = region._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in scan
+    both = readers.read_groups_of_gene(spark, str(tmp_path), "DUP")
+    assert {(r.gene_id, r.start) for r in both.collect()} == {("G3", 3000), ("G17", 17000)}
+    assert readers.read_groups_of_gene(spark, str(tmp_path), "NONE").count() == 0
+    writers.write_gene_groups(genes.limit(0), groups.limit(0), str(tmp_path / "empty"))
