@@ -22,7 +22,7 @@ MATCH, MISMATCH, GAP = 2, -1, -2
 MOST_BROADCAST_IDS = 1_000_000  # some tens of megabytes
 
 
-def word_hashes(text: str | None, most: int = 400_000) -> np.ndarray:
+def word_hashes(text: str | None, most: int = 200_000) -> np.ndarray:
     """64-bit hashes of the lower-cased words of the whole text."""
     known = worker_memo("word_hashes", dict)
     if len(known) > most:
@@ -38,6 +38,11 @@ def word_hashes(text: str | None, most: int = 400_000) -> np.ndarray:
     return np.array(values, dtype=np.uint64)
 
 
+def forget_words() -> None:
+    """At the end of a task: an idle worker need not hold its words."""
+    worker_memo("word_hashes", dict).clear()
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` words."""
     if len(words) < n:
@@ -100,6 +105,7 @@ def _grams(df: DataFrame, id_col: str, text_col: str, n: int, filter_bytes: byte
                      pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(sizes).astype(np.int32))],
                     schema.fieldNames(),
                 )
+        forget_words()
 
     return plain.mapInArrow(run, schema)
 
@@ -204,6 +210,7 @@ def _item_words(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             words = [word_hashes(t).view(np.int64) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(words, pa.list_(pa.int64()))], schema.fieldNames())
+        forget_words()
 
     return plain.mapInArrow(run, schema)
 
@@ -229,6 +236,7 @@ def _windows(joined: DataFrame) -> DataFrame:
                     [docs, spots.field("item"), pa.array(lo.astype(np.int32)), pa.array(cut, pa.list_(pa.int64()))],
                     schema.fieldNames(),
                 )
+        forget_words()
 
     return joined.select("doc", "_text", "spots").mapInArrow(run, schema)
 

@@ -299,6 +299,7 @@ def identify_language(
                 names, scores = predict(part.column("_text").to_pylist())
                 columns = [part.column(f"_c{i}") for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores)], [*[f"_c{i}" for i in range(len(kept))], "_l", "_s"])
+        worker_memo("language_words", dict).clear()  # a task's words fill it; an idle worker need not hold them
 
     plain = docs.select(*[col(c).alias(f"_c{i}") for i, c in enumerate(kept)], col(text_col).alias("_text"))
     inner = T.StructType([T.StructField(f"_c{i}", docs.schema[c].dataType) for i, c in enumerate(kept)] + [T.StructField("_l", T.StringType()), T.StructField("_s", T.DoubleType())])

@@ -227,6 +227,7 @@ def pack_tokens(
         for sequence in packer.finish():
             write(sequence)
         yield batch_of()
+        encode.forget()
 
     return plain.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 

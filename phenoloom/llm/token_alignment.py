@@ -166,9 +166,7 @@ class Aligner:
 
     def forget(self) -> None:
         """Drop what was remembered of texts, so an idle worker holds the vocabularies alone."""
-        for memory in (self.a.encode.pieces, self.a.encode.chunks):
-            memory.old = {}
-            memory.clear()
+        self.a.encode.forget()
         self.b.known.clear()
 
     def _tokens(self, side, texts: list[str], spelled: list[bytes]):

@@ -62,6 +62,7 @@ def write_token_files(
                      pa.array(before + ends - sizes), pa.array(sizes), lists], schema.fieldNames(),
                 )
                 before += int(ends[-1])
+        encode.forget()
 
     (
         ordered.mapInArrow(run, schema).write.option("orc.bloom.filter.columns", "doc_id")

@@ -80,6 +80,12 @@ class Encoder:
         self.pieces = Memory(self._encode_piece, most)
         self.chunks = Memory(self._encode, most // 4)
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts, so an idle worker holds the vocabulary alone."""
+        for memory in (self.pieces, self.chunks):
+            memory.old = {}
+            memory.clear()
+
     def _encode(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
