@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from phenoloom.model import PHENO_KEY, MatrixFrame, pheno_key
 from phenoloom.functions.keys import joined_key
-from phenoloom.operators import loading, logs, registry, results, variants
+from phenoloom.operators import icd, loading, logs, registry, results, variants
 from phenoloom.plans import phenotype_queries as phenotypes
 from phenoloom.plans.registry import query
 from phenoloom.plans.result_queries import _MARKERS, _SINGLE, gene_scan, variant_scan
@@ -470,3 +470,68 @@ def load_results_main(t):
         F.col("gene_symbol").alias("gene"), "annotation", F.col("total_variants").alias("ac"), *facts,
     )
     return single.unionByName(gene)
+
+
+_ICD_TEXT = """SELECT user_id, icd_code, false AS truncated, p AS primary_codes, s AS secondary_codes, e AS external_codes,
+        d AS cause_of_death_codes, 'meaning of ' || icd_code AS meaning FROM icd
+    UNION ALL SELECT user_id, icd_code, true, p, s, e, d, 'meaning of ' || icd_code FROM rolled"""
+
+
+@query("load_icd_data", with_views(_ICD_TEXT, "codes", extra=phenotypes._ROLLUP))
+def load_icd_data(t):
+    """Diagnosis codes from the wide text and the coding file: matrix, roll-up and meanings."""
+    root = folder(t)
+    found = t.codes.groupBy("userId").agg(
+        *[F.sort_array(F.collect_list(F.when(F.col("source") == s, F.col("icd_code")))).alias(s) for s in icd.ICD10_FIELDS]
+    )
+    width = found.agg(F.max(F.greatest(*[F.size(s) for s in icd.ICD10_FIELDS]))).first()[0]
+    wide = found.select(
+        "userId", *[F.get(s, F.lit(i)).alias(f"x{field}_0_{i}") for s, field in icd.ICD10_FIELDS.items() for i in range(width)]
+    )
+    delimited(wide, f"{root}/wide")
+    every = t.codes.select("icd_code").distinct()
+    every = every.unionByName(every.select(F.substring("icd_code", 1, 3).alias("icd_code"))).distinct()
+    number = F.lit(None).cast("int")
+    coding = every.select(
+        F.col("icd_code").alias("coding"), F.concat(F.lit("meaning of "), "icd_code").alias("meaning"),
+        number.alias("node_id"), number.alias("parent_id"), F.lit("Y").alias("selectable"),
+    )
+    delimited(coding, f"{root}/coding19.tsv", nullValue="NA")
+    table = readers.read_wide(t.spark, f"{root}/wide", {"userId": "bigint"})
+    codings = readers.read_icd_codings(t.spark, f"{root}/coding19.tsv").select("coding", "meaning")
+    frame = icd.load_icd(table, codings)
+    joined = frame.entries.join(frame.cols.select(*frame.col_key, "meaning"), list(frame.col_key))
+    return joined.select(F.col("userId").alias("user_id"), "icd_code", "truncated", *icd.ICD10_FIELDS, "meaning")
+
+
+@query(
+    "load_metadata_main",
+    """SELECT 'field' AS kind, p_partkey::VARCHAR AS key, p_name || ', ' || p_brand AS value FROM part
+    UNION ALL SELECT 'coding', n_regionkey || ':' || n_nationkey, n_name FROM nation
+    UNION ALL SELECT 'icd10', 'N' || n_nationkey, r_name || ' | ' || n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT 'icd10', 'R' || r_regionkey, r_name FROM region""",
+)
+def load_metadata_main(t):
+    """The dictionary, all codings and the full meanings of a code tree, from their files to tables."""
+    root = folder(t)
+    delimited(dictionary(t), f"{root}/raw.csv", ",", quote='"', escape='"')
+    for region in range(5):
+        own = t.nation.filter(F.col("n_regionkey") == region)
+        delimited(own.select(F.col("n_nationkey").cast("string").alias("coding"), F.col("n_name").alias("meaning")), f"{root}/codings/coding{region}.tsv")
+    tree = t.region.select(
+        F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("coding"), F.col("r_name").alias("meaning"),
+        (F.col("r_regionkey") + 1000).alias("node_id"), F.lit(0).cast("long").alias("parent_id"), F.lit("N").alias("selectable"),
+    ).unionByName(t.nation.select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("coding"), F.col("n_name").alias("meaning"),
+        (F.col("n_nationkey") + 1).alias("node_id"), (F.col("n_regionkey") + 1000).alias("parent_id"), F.lit("Y").alias("selectable"),
+    ))
+    delimited(tree, f"{root}/tree/coding19.tsv", nullValue="NA")
+    loading.load_phenotype_metadata(t.spark, f"{root}/raw.csv", f"{root}/codings", {"icd10": f"{root}/tree/coding19.tsv"}, f"{root}/out")
+    fields = readers.read_dictionary(t.spark, f"{root}/out/dictionary.tsv").select(
+        F.lit("field").alias("kind"), F.col("FieldID").alias("key"), F.col("Field").alias("value")
+    )
+    codes = t.spark.read.parquet(f"{root}/out/codings").select(
+        F.lit("coding").alias("kind"), F.concat_ws(":", F.col("coding_id").cast("string"), "coding").alias("key"), F.col("meaning").alias("value")
+    )
+    full = t.spark.read.parquet(f"{root}/out/icd10_codings").select(F.lit("icd10").alias("kind"), F.col("coding").alias("key"), F.col("meaning").alias("value"))
+    return fields.unionByName(codes).unionByName(full)
