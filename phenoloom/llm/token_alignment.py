@@ -251,7 +251,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
 
 def align_tokenizers(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_a: str | None = None, path_b: str | None = None,
-    block_bytes: int = 2 << 20, most: int = 120_000,
+    block_bytes: int = 1 << 18, most: int = 120_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: an alignment per document, and the linked id pairs of the corpus.
 
