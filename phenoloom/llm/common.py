@@ -21,6 +21,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(base: str, df: DataFrame) -> str:
+    """``base``, lengthened until no column of ``df`` has the name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to lower case, all else untouched; texts of ASCII take the short way."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phenoloom.llm.common import col, worker_memo
+from phenoloom.llm.common import col, free_name, worker_memo
 from phenoloom.session import stage
 
 WORD = re.compile(r"[^\W_]+")
@@ -278,10 +278,15 @@ def _align(pairs: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item. See :func:`find_leaks`."""
-    leaks = find_leaks(docs, items, id_col, text_col, **options)
-    found = stage(leaks.select(F.struct(col(id_col).alias("id")).alias("_leak")).distinct())
-    return docs.join(found, F.struct(col(id_col).alias("id")) == F.col("_leak"), "left_anti")
+    """``docs`` without the documents that hold a benchmark item. See :func:`find_leaks`.
+
+    All rows of a found id go, null ids count as one document, and null and empty
+    texts stay. Columns of any name are kept; without documents or items ``docs``
+    comes back as it is.
+    """
+    leaks, mark = find_leaks(docs, items, id_col, text_col, **options), free_name("_leak", docs)
+    found = stage(leaks.select(F.struct(col(id_col).alias("id")).alias(mark)).distinct())
+    return docs.join(found, F.struct(col(id_col).alias("id")) == F.col(mark), "left_anti")
 
 
 def op5_decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phenoloom.llm.common import col
+from phenoloom.llm.common import col, free_name
 from phenoloom.session import stage
 
 SEED = 42
@@ -319,17 +319,19 @@ def keep_one_per_group(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the
-    smallest id (null ids last), then the smallest hash of the text. Exact
-    repeats of that row are dropped too."""
+    smallest id (null ids last), then the smallest hash of the text. Rows that
+    repeat its id and text are dropped too, whatever their other columns hold.
+    Columns of any name are kept; an empty table gives no rows."""
     prints, named = _grouped(docs, id_col, text_col, shingle, radius)
     rank = F.struct(F.col("_id").isNull(), F.col("_id").alias("id"), F.col("_th").alias("th"))
     # Partial minimum per fingerprint, then per group: no group of copies gathers.
     best = stage(prints.groupBy("_fp").agg(F.min(rank).alias("_best")))
     keepers = best.join(named, "_fp").groupBy("_root").agg(F.min("_best").alias("_best"))
-    keepers = stage(keepers.select(F.col("_best.id").alias("_kid"), F.col("_best.th").alias("_kth")).distinct())
-    rows = docs.withColumn("_row_hash_", F.xxhash64(col(text_col)))
-    same = col(id_col).eqNullSafe(F.col("_kid")) & (F.col("_row_hash_") == F.col("_kth"))
-    return rows.join(keepers, same, "left_semi").dropDuplicates([id_col, "_row_hash_"]).drop("_row_hash_")
+    kid, kth, hashed = (free_name(n, docs) for n in ("_kid", "_kth", "_row_hash"))
+    keepers = stage(keepers.select(F.col("_best.id").alias(kid), F.col("_best.th").alias(kth)).distinct())
+    rows = docs.withColumn(hashed, F.xxhash64(col(text_col)))
+    same = col(id_col).eqNullSafe(F.col(kid)) & (F.col(hashed) == F.col(kth))
+    return rows.join(keepers, same, "left_semi").dropDuplicates([id_col, hashed]).drop(hashed)
 
 
 def op6_simhash(documents: DataFrame) -> DataFrame:

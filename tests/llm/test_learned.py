@@ -261,3 +261,18 @@ def test_open_sequences_hold_their_own_ids():
         n = 1024 * 20 + 37 * (name % 9) + 1
         list(packer.add((Tokens(name, n, 0, bytes(4 * n)), 0, n, n)))
         assert sum(len(p[0].ids) for b in packer.open for p in b.pieces) <= 4 * 4 * 1024
+
+
+def test_stages_keep_columns_of_any_name(spark, make):
+    """Columns named as the stages' own helpers stay as they are, through all stages but the last."""
+    names = ["_leak", "_kid", "_KTH", "_row_hash", "_row_hash_", "_lang_pred", "_lang_score", "_n_lines", "_n_dropped"]
+    text = "the quick brown fox jumps over the lazy dog and is it not the case that with all this"
+    docs = make([(i, f"{text} {i} {'lorem ipsum ' * i}") for i in range(6)] + [(None, text)], extra=False)
+    docs = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, "/root/testdata/sf0.001")
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert rows and all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in rows for n in names)
+    leaked = decontaminate.drop_leaks(docs, spark.createDataFrame([(1, f"{text} 3")], "item_id long, text string"))
+    assert {r["doc_id"] for r in leaked.collect()} == set() and leaked.columns == docs.columns
