@@ -192,7 +192,8 @@ def find_leaks(
     texts = docs.select(F.struct(col(id_col).alias("_id")).alias("doc"), col(text_col).alias("_text"))
     if wanted.count() <= MOST_BROADCAST_IDS:  # other texts need not be exchanged then
         texts = texts.join(F.broadcast(wanted.select("doc")), "doc", "left_semi")
-    windows = _windows(texts.join(wanted, "doc"))
+    # Written, so that cutting windows and aligning them do not need two Python workers a task.
+    windows = stage(_windows(texts.join(wanted, "doc")))
     words = stage(_item_words(items, item_col, item_text_col))
     pairs = windows.join(words, "item")
     scored = _align(pairs)
