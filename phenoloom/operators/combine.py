@@ -19,6 +19,9 @@ from phenoloom.operators.reshape import densify, fill_cols, sex_values, union_co
 from phenoloom.scale import lookup, one_per_key
 from phenoloom.session import stage
 
+# Fixed value: description of simulated phenotypes.
+RANDOM_DESCRIPTION = "Random pheno with GRM covariance structure"
+
 ROW = "userId"
 COUNTS = ["n_cases_defined", "n_cases_both_sexes", "n_cases_females", "n_cases_males"]
 
@@ -87,7 +90,7 @@ def _random(frame, covariates, name, legacy):
     )
     x, sex = F.col("x"), F.col("sex")
     case = F.when(kind == "categorical", x != 0).otherwise(x.isNotNull())
-    texts = {"description": F.lit("Random phenotype with the covariance of the relatedness matrix")}
+    texts = {"description": F.lit(RANDOM_DESCRIPTION)}
     return _assemble(frame, covariates, key, texts, sex_values(x, sex), case_counts(case, sex))
 
 

@@ -535,3 +535,34 @@ def load_metadata_main(t):
     )
     full = t.spark.read.parquet(f"{root}/out/icd10_codings").select(F.lit("icd10").alias("kind"), F.col("coding").alias("key"), F.col("meaning").alias("value"))
     return fields.unionByName(codes).unionByName(full)
+
+
+_COVID_CELLS = """, people AS (SELECT c_custkey AS eid, 11000 + c_nationkey AS center, origin, inpatient, result, death FROM customer LEFT JOIN status ON c_custkey = eid),
+    analyses AS (SELECT eid, 'A2_v2' AS coding, coalesce(death, false) AS v FROM people
+        UNION ALL SELECT eid, 'B1_v2', CASE WHEN result THEN inpatient END FROM people
+        UNION ALL SELECT eid, 'B1_v2_origin', CASE WHEN result THEN origin END FROM people
+        UNION ALL SELECT eid, 'C2_v2', coalesce(result, false) FROM people
+        UNION ALL SELECT eid, 'C2_v2_england_controls', CASE WHEN center IN (CENTERS) THEN coalesce(result, false) END FROM people
+        UNION ALL SELECT eid, 'C1_v2', result FROM people
+        UNION ALL SELECT eid, 'B2_v2', coalesce(result AND inpatient, false) FROM people
+        UNION ALL SELECT eid, 'B2_v2_origin', coalesce(result AND origin, false) FROM people),
+    counts AS (SELECT coding, count(*) FILTER (WHERE v) AS n_cases, count(*) FILTER (WHERE NOT v) AS n_controls FROM analyses GROUP BY 1)
+    SELECT eid::INTEGER AS eid, coding, v::INTEGER::DOUBLE AS value, n_cases, n_controls FROM analyses JOIN counts USING (coding)""".replace(
+    "CENTERS", ", ".join(map(str, registry.ENGLAND_CENTERS))
+)
+
+
+@query("load_covid_data", f"WITH {phenotypes._COVID_SQL.format(days=30)}" + _COVID_CELLS)
+def load_covid_data(t):
+    """The registers and the sample list from their text files to the analysis matrix."""
+    root = folder(t)
+    schemas = [readers.COVID_TESTS, readers.HES_MAIN, readers.HES_DIAG, readers.DEATHS]
+    registers = []
+    for name, table, schema in zip(("tests", "main", "diag", "deaths"), phenotypes.covid_inputs(t), schemas):
+        delimited(table, f"{root}/{name}")
+        registers.append(readers.read_register(t.spark, f"{root}/{name}", schema))
+    people = t.customer.select(F.col("c_custkey").alias("eid"), (F.col("c_nationkey") + 11000).alias("recruitment_center"))
+    delimited(people, f"{root}/samples")
+    samples = readers.read_wide(t.spark, f"{root}/samples", {"eid": "int", "recruitment_center": "int"})
+    frame = registry.covid_matrix(samples, registry.covid_status(*registers))
+    return frame.entries.join(frame.cols, PHENO_KEY).select("eid", "coding", "value", "n_cases", "n_controls")
