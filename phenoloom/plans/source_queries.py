@@ -537,15 +537,15 @@ def load_metadata_main(t):
     return fields.unionByName(codes).unionByName(full)
 
 
-_COVID_CELLS = """, people AS (SELECT c_custkey AS eid, 11000 + c_nationkey AS center, origin, inpatient, result, death FROM customer LEFT JOIN status ON c_custkey = eid),
-    analyses AS (SELECT eid, 'A2_v2' AS coding, coalesce(death, false) AS v FROM people
-        UNION ALL SELECT eid, 'B1_v2', CASE WHEN result THEN inpatient END FROM people
-        UNION ALL SELECT eid, 'B1_v2_origin', CASE WHEN result THEN origin END FROM people
-        UNION ALL SELECT eid, 'C2_v2', coalesce(result, false) FROM people
-        UNION ALL SELECT eid, 'C2_v2_england_controls', CASE WHEN center IN (CENTERS) THEN coalesce(result, false) END FROM people
-        UNION ALL SELECT eid, 'C1_v2', result FROM people
-        UNION ALL SELECT eid, 'B2_v2', coalesce(result AND inpatient, false) FROM people
-        UNION ALL SELECT eid, 'B2_v2_origin', coalesce(result AND origin, false) FROM people),
+_COVID_CELLS = """, sampled AS (SELECT c_custkey AS eid, 11000 + c_nationkey AS center, origin, inpatient, result, death FROM customer LEFT JOIN status ON c_custkey = eid),
+    analyses AS (SELECT eid, 'A2_v2' AS coding, coalesce(death, false) AS v FROM sampled
+        UNION ALL SELECT eid, 'B1_v2', CASE WHEN result THEN inpatient END FROM sampled
+        UNION ALL SELECT eid, 'B1_v2_origin', CASE WHEN result THEN origin END FROM sampled
+        UNION ALL SELECT eid, 'C2_v2', coalesce(result, false) FROM sampled
+        UNION ALL SELECT eid, 'C2_v2_england_controls', CASE WHEN center IN (CENTERS) THEN coalesce(result, false) END FROM sampled
+        UNION ALL SELECT eid, 'C1_v2', result FROM sampled
+        UNION ALL SELECT eid, 'B2_v2', coalesce(result AND inpatient, false) FROM sampled
+        UNION ALL SELECT eid, 'B2_v2_origin', coalesce(result AND origin, false) FROM sampled),
     counts AS (SELECT coding, count(*) FILTER (WHERE v) AS n_cases, count(*) FILTER (WHERE NOT v) AS n_controls FROM analyses GROUP BY 1)
     SELECT eid::INTEGER AS eid, coding, v::INTEGER::DOUBLE AS value, n_cases, n_controls FROM analyses JOIN counts USING (coding)""".replace(
     "CENTERS", ", ".join(map(str, registry.ENGLAND_CENTERS))
