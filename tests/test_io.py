@@ -234,3 +234,28 @@ def test_gene_groups_by_region_and_gene(spark, tmp_path):
     assert {(r.gene_id, r.start) for r in both.collect()} == {("G3", 3000), ("G17", 17000)}
     assert readers.read_groups_of_gene(spark, str(tmp_path), "NONE").count() == 0
     writers.write_gene_groups(genes.limit(0), groups.limit(0), str(tmp_path / "empty"))
+
+
+@pytest.mark.parametrize("layout", ["split", "one"])
+def test_vcf_of_few_calls_moves_little(spark, tmp_path, layout):
+    """Absent calls are made last: what is staged and written follows the stored calls, the lines are whole."""
+    import os
+
+    from phenoloom import session
+
+    n_samples, n_variants = 20_000, 300
+    key = ["'1' AS contig", "id AS pos", "array('A', 'C') AS alleles"]
+    entries = spark.range(n_variants).selectExpr(*key, "concat('s', (id * 7919 + 13) % 20000) AS sample", "array(0, 1) AS GT")
+    samples = spark.range(n_samples).selectExpr("concat('s', id) AS sample")
+    n_staged = len(session._staged)
+    writers.write_vcf(entries, samples, str(tmp_path / "v"), layout, compression="gzip")
+    order = {name: i for i, name in enumerate(sorted(f"s{i}" for i in range(n_samples)))}
+    lines = [r.value.split("\t") for r in spark.read.text(str(tmp_path / ("v" if layout == "one" else "v/body"))).collect()]
+    lines = [x for x in lines if not x[0].startswith("#")]
+    assert len(lines) == n_variants
+    for line in lines:
+        calls, at = line[9:], order[f"s{(int(line[1]) * 7919 + 13) % 20000}"]
+        assert len(calls) == n_samples and calls[at] == "0/1" and calls.count("./.") == n_samples - 1
+    places = [str(tmp_path / "v"), *[p.removeprefix("file:") for p in session._staged[n_staged:]]]
+    size = sum(os.path.getsize(os.path.join(d, f)) for p in places for d, _, files in os.walk(p) for f in files)
+    assert size < n_samples * n_variants * 4 / 20
