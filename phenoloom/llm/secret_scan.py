@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phenoloom.llm.common import col, fetch_sample
+from phenoloom.llm.common import col
+from phenoloom.scale import number_rows
 from phenoloom.session import stage
 
 #: The kinds of base findings in their order, and their patterns.
@@ -83,6 +84,22 @@ def encode(text: str, start: int, end: int) -> np.ndarray:
     return out
 
 
+class Adam:
+    """Steps along slopes, scaled by their running moments."""
+
+    def __init__(self, weights: dict[str, np.ndarray], rate: float):
+        self.w, self.rate, self.n = weights, rate, 0
+        self.first = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.second = {k: np.zeros_like(v) for k, v in weights.items()}
+
+    def step(self, slope: dict[str, np.ndarray]) -> None:
+        self.n += 1
+        for k, g in slope.items():
+            self.first[k] = 0.9 * self.first[k] + 0.1 * g
+            self.second[k] = 0.999 * self.second[k] + 0.001 * g * g
+            self.w[k] -= self.rate * (self.first[k] / (1 - 0.9**self.n)) / (np.sqrt(self.second[k] / (1 - 0.999**self.n)) + 1e-8)
+
+
 class CharNetwork:
     """Embedding, one convolution, maximum over each zone, one linear layer.
 
@@ -127,33 +144,31 @@ class CharNetwork:
         """The field of each example that scores highest now."""
         return np.array([fields[self._scores(fields).argmax()] if len(fields) > 1 else fields[0] for fields in x])
 
+    def slopes(self, x: Sequence[np.ndarray], y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        """Slopes of the cross entropy, summed over the weighted examples."""
+        taps, seen, where, top, p = self._forward(self._best_fields(x))
+        error = (p - y) * weight
+        slope = {"out": top.reshape(len(x), -1).T @ error, "base": np.array([error.sum()])}
+        back = (error[:, None] * self.w["out"]).reshape(top.shape) * (top > 0)
+        slope["bias"] = back.sum(axis=(0, 1))
+        rows = np.arange(len(x))[:, None, None]
+        patch = seen[rows, where]  # example, zone, filter, tap values
+        slope["conv"] = np.einsum("ezfk,ezf->kf", patch, back)
+        to_seen = np.einsum("ezf,kf->ezfk", back, self.w["conv"])
+        slope["embed"] = np.zeros_like(self.w["embed"])
+        np.add.at(slope["embed"], taps[rows, where], to_seen.reshape(*where.shape, self.KERNEL, self.SIZE))
+        return slope
+
     def fit(self, x: Sequence[np.ndarray], y: np.ndarray, rounds: int = 30, rate: float = 0.01, batch: int = 64) -> CharNetwork:
-        """Adam on the cross entropy; classes weigh the same."""
+        """Adam on the cross entropy of batches; classes weigh the same."""
         rng = np.random.default_rng(11)
         weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
-        first = {k: np.zeros_like(v) for k, v in self.w.items()}
-        second = {k: np.zeros_like(v) for k, v in self.w.items()}
-        step = 0
+        adam = Adam(self.w, rate)
         for _ in range(rounds):
             order = rng.permutation(len(x))
             for at in range(0, len(order), batch):
                 some = order[at : at + batch]
-                taps, seen, where, top, p = self._forward(self._best_fields([x[i] for i in some]))
-                error = (p - y[some]) * weight[some] / len(some)
-                slope = {"out": top.reshape(len(some), -1).T @ error, "base": np.array([error.sum()])}
-                back = (error[:, None] * self.w["out"]).reshape(top.shape) * (top > 0)
-                slope["bias"] = back.sum(axis=(0, 1))
-                rows = np.arange(len(some))[:, None, None]
-                patch = seen[rows, where]  # example, zone, filter, tap values
-                slope["conv"] = np.einsum("ezfk,ezf->kf", patch, back)
-                to_seen = np.einsum("ezf,kf->ezfk", back, self.w["conv"])
-                slope["embed"] = np.zeros_like(self.w["embed"])
-                np.add.at(slope["embed"], taps[rows, where], to_seen.reshape(*where.shape, self.KERNEL, self.SIZE))
-                step += 1
-                for k, g in slope.items():
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.999 * second[k] + 0.001 * g * g
-                    self.w[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+                adam.step(self.slopes([x[i] for i in some], y[some], weight[some] / len(some)))
         return self
 
     def calibrate(self, x: Sequence[np.ndarray], y: np.ndarray, least_recall: float) -> CharNetwork:
@@ -178,17 +193,6 @@ def labelled(text: str) -> list[tuple[np.ndarray, int]]:
     return out
 
 
-def _strata(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_order, secret) of the texts with candidates: whether one of them is labelled a secret."""
-    for batch in batches:
-        orders, secret = [], []
-        for order, text in zip(batch.column("_order").to_pylist(), batch.column("_text").to_pylist()):
-            if places := candidates(text):
-                found = base_findings(text)
-                orders.append(order), secret.append(any(a < end and start < b for start, end in places for _, a, b in found))
-        yield pa.RecordBatch.from_arrays([pa.array(orders, pa.int64()), pa.array(secret, pa.bool_())], ["_order", "secret"])
-
-
 def _fit_part(y: np.ndarray) -> np.ndarray:
     """Which examples to fit on: the first three quarters of each label; the rest calibrates."""
     out = np.zeros(len(y), dtype=bool)
@@ -198,48 +202,89 @@ def _fit_part(y: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, text_col: str, most_documents: int, least_recall: float) -> CharNetwork | None:
-    """Fit on the candidates of at most ``most_documents`` different texts that
-    have any, half of them with a labelled secret as far as there are so many;
-    None without candidates of both labels."""
+#: Passes over all examples, and the length of a step.
+STEPS, RATE = 60, 0.05
+
+
+def _examples(docs: DataFrame, text_col: str) -> DataFrame:
+    """(codes, label, aside): the different candidates of all texts, staged; a quarter by hash is set aside."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(codes.tobytes(), label) for text in batch.column("_text") for codes, label in labelled(text.as_py())]
+            columns = list(zip(*rows)) if rows else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.binary(), pa.int32()])], ["codes", "label"])
+
     plain = docs.select(col(text_col).alias("_text")).filter(F.col("_text").rlike("[A-Za-z0-9+/_.=-]{12,}"))
-    schema = "_order long, codes binary, label int"
+    # Copies count once; sorted, so that sums are taken in the same order on every run.
+    unique = plain.mapInArrow(run, "codes binary, label int").distinct().sortWithinPartitions("codes", "label")
+    return stage(unique.withColumn("aside", F.pmod(F.xxhash64("codes", F.lit(3)), F.lit(4)) == 0))
+
+
+def _fields(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(codes, dtype=np.uint8).reshape(-1, WIDTH) for codes in column.to_pylist()]
+
+
+def _summed_slopes(examples: DataFrame, network: CharNetwork, weights: dict[int, float], at_once: int) -> dict[str, np.ndarray]:
+    """Slopes over all examples; a task hands over one sum."""
+    names = list(network.w)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            y = batch.column("label").to_numpy().astype(float)
+            for at in range(0, len(y), at_once):
+                part = y[at : at + at_once]
+                weight = np.where(part > 0, weights[1], weights[0])
+                slope = network.slopes(_fields(batch.column("codes").slice(at, at_once)), part, weight)
+                flat = np.concatenate([slope[k].ravel() for k in names])
+                total = flat if total is None else total + flat
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["slopes"])
+
+    rows = examples.select("codes", "label").mapInArrow(run, "slopes binary").collect()
+    flat = np.sum([np.frombuffer(r["slopes"]) for r in rows], axis=0)
+    ends = np.cumsum([network.w[k].size for k in names])
+    return {k: part.reshape(network.w[k].shape) for k, part in zip(names, np.split(flat, ends[:-1]))}
+
+
+def _threshold(secrets: DataFrame, network: CharNetwork, n: int, least_recall: float) -> float:
+    """The highest threshold that still finds ``least_recall`` of the ``n`` labelled secrets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (order.as_py(), codes.tobytes(), label)
-                for order, text in zip(batch.column("_order"), batch.column("_text"))
-                for codes, label in labelled(text.as_py())
-            ]
-            columns = list(zip(*rows)) if rows else [[], [], []]
-            kinds = [pa.int64(), pa.binary(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["_order", "codes", "label"])
-
-    # Copies of a text count once, so that no group of copies fills the sample.
-    hashed = plain.select(F.xxhash64("_text").alias("_order"), "_text")
-    kinds = stage(hashed.mapInArrow(_strata, "_order long, secret boolean").distinct())
-    # At most most_documents ids of a kind reach the driver.
-    listed = [
-        [r["_order"] for r in kinds.filter(F.col("secret") == secret).orderBy("_order").limit(most_documents).collect()]
-        for secret in (True, False)
-    ]
-    n_secret = min(len(listed[0]), max(most_documents // 2, most_documents - len(listed[1])))
-    sample = sorted({*listed[0][:n_secret], *listed[1][: most_documents - n_secret]})
-    chosen = docs.sparkSession.createDataFrame([(i,) for i in sample], "_order long")
-    texts = fetch_sample(hashed, chosen, "_order", most_documents).groupBy("_order").agg(F.min("_text").alias("_text"))
-    rows = texts.mapInArrow(run, schema).orderBy("_order").collect()  # the bounded sample alone
-    unique = sorted({(bytes(r["codes"]), r["label"]) for r in rows})
-    if len({label for _, label in unique}) < 2:
+            yield pa.RecordBatch.from_arrays([pa.array(network.predict(_fields(batch.column("codes"))), pa.float64())], ["score"])
+
+    ranked = number_rows(secrets.select("codes").mapInArrow(run, "score double"), [], ["score"], "at")
+    return ranked.filter(F.col("at") == int((1 - least_recall) * n) + 1).first()["score"]
+
+
+def train(
+    docs: DataFrame, text_col: str, most_documents: int, least_recall: float, steps: int = STEPS, rate: float = RATE
+) -> CharNetwork | None:
+    """Fit on the different candidates of all texts but a quarter set aside,
+    which gives the threshold; None without candidates of both labels.
+
+    Every step sums the slopes over all examples where they lie; the driver
+    holds the weights and one sum per task. ``most_documents`` bounds only how
+    many examples a task works on at once.
+    """
+    examples = _examples(docs, text_col)
+    # Four numbers at most.
+    n = {(r["aside"], r["label"]): r["count"] for r in examples.groupBy("aside", "label").count().collect()}
+    if len({label for _, label in n}) < 2:
         return None
-    rng = np.random.default_rng(3)
-    order = rng.permutation(len(unique))
-    x = [np.frombuffer(unique[i][0], dtype=np.uint8).reshape(-1, WIDTH) for i in order]
-    y = np.array([unique[i][1] for i in order], dtype=float)
-    fitted = _fit_part(y)
-    aside = ~fitted if (~fitted & (y > 0)).any() else fitted  # a single secret has to serve twice
-    pick = lambda part: ([x[i] for i in np.flatnonzero(part)], y[part])
-    return CharNetwork().fit(*pick(fitted)).calibrate(*pick(aside), least_recall)
+    # A single secret has to serve twice.
+    every = not ((False, 0) in n and (False, 1) in n)
+    fitted = examples if every else examples.filter("NOT aside")
+    n_fitted = [sum(c for (aside, of), c in n.items() if of == label and (every or not aside)) for label in (0, 1)]
+    network = CharNetwork()
+    adam = Adam(network.w, rate)
+    for _ in range(steps):
+        adam.step(_summed_slopes(fitted, network, {label: 0.5 / n_fitted[label] for label in (0, 1)}, min(most_documents, 512)))
+    aside = examples.filter("aside") if (True, 1) in n else fitted
+    network.threshold = _threshold(aside.filter("label = 1"), network, n.get((True, 1), n_fitted[1]), least_recall)
+    return network
 
 
 def findings(text: str | None, network: CharNetwork | None) -> list[tuple[str, int, int]]:
@@ -267,10 +312,10 @@ def scan_secrets(
     Places are code points, ends exclusive. Kinds ``assign``, ``access`` and
     ``hex`` are fixed patterns; ``learned`` are candidates not wholly in a base
     finding that a character network takes for secrets. The network is trained
-    on the candidates of at most ``most_documents`` different texts (of
-    ``train_docs``, else of ``docs``; half of them with a labelled secret, if
-    there are so many), labelled by the patterns; its threshold is the highest
-    that keeps ``least_recall`` of the labelled secrets set aside.
+    on the candidates of all texts (of ``train_docs``, else of ``docs``),
+    labelled by the patterns; its threshold is the highest that keeps
+    ``least_recall`` of the labelled secrets set aside. ``most_documents``
+    bounds how many examples a task works on at once; none is left out.
 
     Null and empty texts have no findings; texts are scanned whole; repeated
     rows are scanned each by themselves. Without candidates of both labels

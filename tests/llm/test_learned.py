@@ -276,3 +276,22 @@ def test_stages_keep_columns_of_any_name(spark, make):
         assert rows and all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in rows for n in names)
     leaked = decontaminate.drop_leaks(docs, spark.createDataFrame([(1, f"{text} 3")], "item_id long, text string"))
     assert {r["doc_id"] for r in leaked.collect()} == set() and leaked.columns == docs.columns
+
+
+def test_all_texts_train_the_network(make):
+    """Slopes and threshold come from every candidate, however small ``most_documents`` is."""
+    rng = np.random.default_rng(5)
+    rows = [(i, f"mail{i}.example-host.com says nothing") for i in range(300)]
+    rows += [(300 + i, "set token = \"" + "".join(rng.choice(list("0123456789abcdef"), 32)) + "\" and go") for i in range(300)]
+    docs = make(rows)
+    network = secret_scan.train(docs, "text", 40, 0.95, steps=4)
+    examples = secret_scan._examples(docs, "text")
+    found = examples.collect()
+    assert len(found) == 300 + 2 * 300
+    fields = lambda some: [np.frombuffer(r["codes"], dtype=np.uint8).reshape(-1, secret_scan.WIDTH) for r in some]
+    scores = np.sort(network.predict(fields([r for r in found if r["aside"] and r["label"]])))
+    assert len(scores) > 40 and np.isclose(network.threshold, scores[int((1 - 0.95) * len(scores))])
+    y = np.array([float(r["label"]) for r in found])
+    whole = network.slopes(fields(found), y, np.where(y > 0, 0.3, 0.7))
+    summed = secret_scan._summed_slopes(examples, network, {1: 0.3, 0: 0.7}, 7)
+    assert all(np.allclose(whole[k], summed[k]) for k in whole)
