@@ -155,8 +155,8 @@ class CharNetwork:
         patch = seen[rows, where]  # example, zone, filter, tap values
         slope["conv"] = np.einsum("ezfk,ezf->kf", patch, back)
         to_seen = np.einsum("ezf,kf->ezfk", back, self.w["conv"])
-        slope["embed"] = np.zeros_like(self.w["embed"])
-        np.add.at(slope["embed"], taps[rows, where], to_seen.reshape(*where.shape, self.KERNEL, self.SIZE))
+        classes, parts = taps[rows, where].ravel(), to_seen.reshape(-1, self.SIZE)
+        slope["embed"] = np.stack([np.bincount(classes, part, N_CLASSES) for part in parts.T], axis=1)
         return slope
 
     def fit(self, x: Sequence[np.ndarray], y: np.ndarray, rounds: int = 30, rate: float = 0.01, batch: int = 64) -> CharNetwork:
@@ -204,6 +204,8 @@ def _fit_part(y: np.ndarray) -> np.ndarray:
 
 #: Passes over all examples, and the length of a step.
 STEPS, RATE = 60, 0.05
+#: Examples of a file: adaptive execution would merge them into one, and each pass into one task.
+PER_FILE = 2048
 
 
 def _examples(docs: DataFrame, text_col: str) -> DataFrame:
@@ -216,9 +218,12 @@ def _examples(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.binary(), pa.int32()])], ["codes", "label"])
 
     plain = docs.select(col(text_col).alias("_text")).filter(F.col("_text").rlike("[A-Za-z0-9+/_.=-]{12,}"))
-    # Copies count once; sorted, so that sums are taken in the same order on every run.
-    unique = plain.mapInArrow(run, "codes binary, label int").distinct().sortWithinPartitions("codes", "label")
-    return stage(unique.withColumn("aside", F.pmod(F.xxhash64("codes", F.lit(3)), F.lit(4)) == 0))
+    # Copies count once, and are few before the examples are dealt.
+    unique = stage(plain.mapInArrow(run, "codes binary, label int").distinct())
+    n_files = max(1, -(-unique.count() // PER_FILE))
+    # Sorted, so that sums are taken in the same order on every run.
+    dealt = unique.repartition(n_files, "codes", "label").sortWithinPartitions("codes", "label")
+    return stage(dealt.withColumn("aside", F.pmod(F.xxhash64("codes", F.lit(3)), F.lit(4)) == 0))
 
 
 def _fields(column: pa.Array) -> list[np.ndarray]:

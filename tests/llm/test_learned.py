@@ -295,3 +295,33 @@ def test_all_texts_train_the_network(make):
     whole = network.slopes(fields(found), y, np.where(y > 0, 0.3, 0.7))
     summed = secret_scan._summed_slopes(examples, network, {1: 0.3, 0: 0.7}, 7)
     assert all(np.allclose(whole[k], summed[k]) for k in whole)
+
+
+def test_passes_over_the_examples_are_dealt_to_tasks(make):
+    """Every pass reads them from files of bounded size, not from one that adaptive execution merged."""
+    docs = make([(i, " ".join(f"mail{i}x{j}.example-host.com" for j in range(50))) for i in range(200)])
+    found = secret_scan._examples(docs, "text")
+    assert found.count() == 10000 and found.select("codes").distinct().count() == 10000
+    per_file = [r["count"] for r in found.groupBy(secret_scan.F.input_file_name()).count().collect()]
+    assert max(per_file) < 2 * secret_scan.PER_FILE
+
+
+def test_slopes_of_the_embedding():
+    """Sums per class are those of adding place by place."""
+    rng = np.random.default_rng(8)
+    network = secret_scan.CharNetwork()
+    x, y = rng.integers(0, secret_scan.N_CLASSES, (30, 1, secret_scan.WIDTH)).astype(np.uint8), rng.integers(0, 2, 30).astype(float)
+    whole = network.slopes(x, y, np.ones(30))["embed"]
+    step = 1e-6
+
+    def loss():
+        p = np.clip(network.predict(x), 1e-12, 1 - 1e-12)
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).sum()
+
+    for at in [(40, 3), (0, 0), (96, 7)]:
+        network.w["embed"][at] += step
+        up = loss()
+        network.w["embed"][at] -= 2 * step
+        down = loss()
+        network.w["embed"][at] += step
+        assert np.isclose(whole[at], (up - down) / (2 * step), rtol=1e-3, atol=1e-3)
