@@ -7,6 +7,7 @@ order the lines of a file. A file may span many blocks, read by different tasks.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,7 +115,7 @@ VERSION, NORMALIZED, MODEL_TIME, HERITABILITY = range(4)
 MARKERS = [Marker(PACKAGES, 1), Marker(NORMALIZE, 1), Marker(MODEL_TIMING, 2), Marker(FINAL, 0)]
 
 
-def facts_from_logs(lines: DataFrame) -> DataFrame:
+def facts_from_logs(lines: DataFrame, wanted: Sequence[int] | None = None) -> DataFrame:
     """All facts of the model logs by one pass over their lines, a row per file.
 
     ``saige_version``, ``inv_normalized``, ``cpu`` and ``wall`` come from the last
@@ -122,8 +123,12 @@ def facts_from_logs(lines: DataFrame) -> DataFrame:
     readable ``Final`` line of four words: t2 / (t1 + t2) for a quantitative
     trait, t2 / (t2 + pi^2 / 3) for a binary one. Facts not found are 'NA',
     'Unknown' or -1. Lines are as :func:`logscan.lines_below` wants them.
+
+    ``wanted`` names the facts to look for (``VERSION`` and so on; all by
+    default); lines of others stay in the scan and their columns are left out.
     """
-    found, files = lines_below(lines, MARKERS)
+    wanted = list(range(len(MARKERS))) if wanted is None else list(wanted)
+    found, files = lines_below(lines, [MARKERS[fact] for fact in wanted])
     text = F.col("text")
     parts = words(text)
     named = F.get(F.filter(parts, lambda w: F.contains(w, F.lit(PACKAGE_NAME))), F.lit(0))
@@ -134,21 +139,30 @@ def facts_from_logs(lines: DataFrame) -> DataFrame:
         return F.when(total != 0, t2 / total)
 
     def pick(fact: int, value: Column, choose) -> Column:
-        return choose(F.when((F.col("fact") == fact) & value.isNotNull(), F.struct("at", value.alias("value")))).getField("value")
-
-    facts = found.groupBy("file").agg(
-        pick(VERSION, named, F.max).alias("saige_version"),
-        pick(NORMALIZED, F.initcap(word(text, 1)), F.max).alias("inv_normalized"),
-        pick(MODEL_TIME, times, F.max).alias("_times"),
-        pick(HERITABILITY, share(t2 + F.lit(math.pi**2 / 3)), F.min).alias("heritability_binary"),
-        pick(HERITABILITY, share(t1 + t2), F.min).alias("heritability_quantitative"),
-    )
+        at = F.when((F.col("fact") == wanted.index(fact)) & value.isNotNull(), F.struct("at", value.alias("value")))
+        return choose(at).getField("value")
+
+    columns = {
+        VERSION: {"saige_version": (named, F.max)},
+        NORMALIZED: {"inv_normalized": (F.initcap(word(text, 1)), F.max)},
+        MODEL_TIME: {"_times": (times, F.max)},
+        HERITABILITY: {
+            "heritability_binary": (share(t2 + F.lit(math.pi**2 / 3)), F.min),
+            "heritability_quantitative": (share(t1 + t2), F.min),
+        },
+    }
+    picks = [pick(fact, *how).alias(name) for fact in wanted for name, how in columns[fact].items()]
     default = {
-        "saige_version": F.lit("NA"), "inv_normalized": F.lit("Unknown"), "cpu": F.lit("NA"), "wall": F.lit("NA"),
-        "heritability_binary": F.lit(-1.0), "heritability_quantitative": F.lit(-1.0),
+        VERSION: {"saige_version": F.lit("NA")}, NORMALIZED: {"inv_normalized": F.lit("Unknown")},
+        MODEL_TIME: {"cpu": F.lit("NA"), "wall": F.lit("NA")},
+        HERITABILITY: {"heritability_binary": F.lit(-1.0), "heritability_quantitative": F.lit(-1.0)},
     }
-    joined = files.join(facts.select("*", "_times.cpu", "_times.wall"), "file", "left")
-    return joined.select("file", *[F.coalesce(n, d).alias(n) for n, d in default.items()])
+    # Files without any line found are there too, so all are grouped by file once.
+    nothing = [F.lit(None).cast(found.schema[n].dataType).alias(n) for n in ("at", "fact", "text")]
+    facts = found.unionByName(files.select("file", *nothing)).groupBy("file").agg(*picks)
+    if MODEL_TIME in wanted:
+        facts = facts.select("*", "_times.cpu", "_times.wall")
+    return facts.select("file", *[F.coalesce(n, d).alias(n) for fact in sorted(wanted) for n, d in default[fact].items()])
 
 
 def heritability_from_logs(lines: DataFrame, quantitative: Column | None = None) -> DataFrame:
@@ -172,17 +186,17 @@ def heritability_from_logs(lines: DataFrame, quantitative: Column | None = None)
 def version_from_logs(lines: DataFrame) -> DataFrame:
     """Tool version per file: the first matching package on the line below the
     package header; 'NA' if none."""
-    return facts_from_logs(lines).select("file", "saige_version")
+    return facts_from_logs(lines, [VERSION])
 
 
 def normalization_from_logs(lines: DataFrame) -> DataFrame:
     """Inverse-normal flag per file, capitalised; 'Unknown' if none."""
-    return facts_from_logs(lines).select("file", "inv_normalized")
+    return facts_from_logs(lines, [NORMALIZED])
 
 
 def model_timing_from_logs(lines: DataFrame) -> DataFrame:
     """CPU and wall time per file, two lines below the timing marker; 'NA' if none."""
-    return facts_from_logs(lines).select("file", "cpu", "wall")
+    return facts_from_logs(lines, [MODEL_TIME])
 
 
 def timing_from_logs(lines: DataFrame) -> DataFrame:

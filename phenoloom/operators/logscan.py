@@ -120,7 +120,7 @@ def scan_markers(lines: DataFrame, markers: Sequence[Marker]) -> DataFrame:
 
 
 def lines_below(lines: DataFrame, markers: Sequence[Marker]) -> tuple[DataFrame, DataFrame]:
-    """(file, at, fact, text) of every marker with a line below it, and all files.
+    """(file, at, fact, text) of every marker with a line below it, and all files, once per run.
 
     ``fact`` is the marker's place in ``markers`` and ``at`` orders the markers
     of a file. A marker may wait for lines of the next blocks: what it gets there
@@ -143,4 +143,4 @@ def lines_below(lines: DataFrame, markers: Sequence[Marker]) -> tuple[DataFrame,
         found = found.unionByName(
             waiting.select("file", F.struct("block", "line").alias("at"), "fact", text.alias("text")).filter("text IS NOT NULL")
         )
-    return found, heads.select("file").distinct()
+    return found, heads.select("file")

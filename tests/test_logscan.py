@@ -90,3 +90,24 @@ def test_all_facts_from_text_in_small_blocks(spark, tmp_path):
 def test_no_files(spark):
     empty = spark.createDataFrame([], "file string, block int, line int, value string")
     assert logs.facts_from_logs(empty).count() == 0
+
+
+def test_lines_of_other_facts_stay_in_the_scan(spark, tmp_path, monkeypatch):
+    """A fact asked for alone sends out its own lines and as much of a run's head as it may need."""
+    (tmp_path / "a.log").write_text("other attached packages:\n[1] SAIGE_1\n$invNormalize\n[1] TRUE\nt_end - t_begin\nuser\n1 2 3\n")
+    (tmp_path / "b.log").write_text("nothing")
+    sent = []
+
+    def watched(df):
+        sent.append(df.collect())
+        return df
+
+    monkeypatch.setattr(logscan, "stage", watched)
+    lines = readers.read_lines(spark, str(tmp_path))
+    got = sorted((r["file"][-5:], r["saige_version"]) for r in logs.version_from_logs(lines).collect())
+    assert got == [("a.log", "SAIGE_1"), ("b.log", "NA")]
+    assert sorted(r["kind"] for r in sent[0]) == ["found", "head", "head"] and all(len(r["head"]) == 1 for r in sent[0] if r["head"])
+    times = {r["file"][-5:]: (r["cpu"], r["wall"]) for r in logs.model_timing_from_logs(lines).collect()}
+    assert times == {"a.log": ("1", "3"), "b.log": ("NA", "NA")} and len(sent[1]) == 3
+    every = logs.facts_from_logs(lines)
+    assert every.columns == ["file", "saige_version", "inv_normalized", "cpu", "wall", "heritability_binary", "heritability_quantitative"]
