@@ -87,3 +87,16 @@ def test_every_cell(spark, block):
     got = {(r.r, r.c): r.v for r in scale.every_cell(rows, cols, entries, ["r"], block).collect()}
     assert len(got) == 35
     assert got[(1, "a")] == 5.0 and got[(6, "e")] is None and got[(0, "b")] is None
+
+
+def test_cells_leave_the_columns_of_their_block(spark):
+    """No record of a dense cell holds the block's columns, and the cells are all there."""
+    rows = spark.createDataFrame([(1,), (2,)], "userId long")
+    cols = spark.createDataFrame([("a", "x"), ("b", "x")], "pheno string, coding string")
+    entries = spark.createDataFrame([(1, "b", "x", 2.0)], "userId long, pheno string, coding string, value double")
+    cells = scale.every_cell(rows, cols, entries, ["userId"])
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    made = [line.split("inline(", 1)[1] for line in plan.splitlines() if "Generate inline(" in line]
+    assert made and "_cols" not in made[0]
+    got = sorted((r["userId"], r["pheno"], r["coding"], r["value"]) for r in cells.collect())
+    assert got == [(1, "a", "x", None), (1, "b", "x", 2.0), (2, "a", "x", None), (2, "b", "x", None)]
