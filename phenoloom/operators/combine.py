@@ -132,9 +132,12 @@ def _icd(frame, covariates, name, legacy, truncated_codes_only=True, store_false
         return with_default(full, 0.0, name)
     if not store_false:
         return full
-    known = full.with_(entries=full.entries.select(ROW, *PHENO_KEY, "both_sexes"))
+    # Parts of the key that all codes share stay literals: cells carry less, and a filter on them makes no cell.
+    own = ["trait_type", "phenocode"] if has_version else ["phenocode"]
+    known = MatrixFrame(full.rows, full.cols.select(*own), full.entries.select(ROW, *own, "both_sexes"), [ROW], own)
     dense = densify(known, {"both_sexes": 0.0}, row_fields=["sex"]).entries
-    return full.with_(entries=dense.select(ROW, *PHENO_KEY, *sex_values(F.col("both_sexes"), sex)))
+    names = [F.col(k) if k in own else shared for k, shared in zip(PHENO_KEY, key)]
+    return full.with_(entries=dense.select(ROW, *names, *sex_values(F.col("both_sexes"), sex)))
 
 
 def _first_occurrence(frame, covariates, name, legacy):

@@ -104,3 +104,23 @@ def test_implicit_and_stored_zeros_export_alike(spark):
         got.append({(r.userId, r.phenocode, r.asked): r.value for r in rows if r.value is not None})
     assert got[0] == got[1] and got[0][3, "Z99", "both_sexes"] == 0.0 and got[0][2, "E11", "females"] == 1.0
     assert (5, "Z99", "both_sexes") not in got[0] and (3, "Z99", "females") not in got[0]
+
+
+def test_false_cells_are_made_once(spark):
+    """The zeros of prescriptions do not make the false cells of diagnosis codes again."""
+    codes = spark.createDataFrame([(1, "A01"), (2, "B02")], "userId long, icd_code string")
+    cols = codes.select("icd_code").distinct().withColumns({"truncated": F.lit(False), "short_meaning": F.lit("s"), "meaning": F.lit("m")})
+    icd = MatrixFrame(codes.select("userId"), cols, codes.withColumns({"truncated": F.lit(False), "any_codes": F.lit(True)}), ["userId"], ["icd_code", "truncated"])
+    records = spark.createDataFrame([(1, "d", "c", 1)], "eid long, Generic_Name string, Drug_Category_and_Indication string, n_records long")
+    key = ["Generic_Name", "Drug_Category_and_Indication"]
+    drugs = MatrixFrame(records.select("eid"), records.select(*key), records, ["eid"], key)
+    sexes = spark.createDataFrame([(1, 0), (2, 1)], "userId long, sex int")
+    full = combine.combine_sources({"icd": icd, "prescriptions": drugs}, sexes)
+    plan = full.entries._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    made = [i for i, line in enumerate(lines) if "Generate inline(" in line and "LocalRelation <empty>" not in lines[i + 1]]
+    assert len(made) == 2, plan
+    cells = {(r["userId"], r["trait_type"], r["phenocode"]): (r["both_sexes"], r["females"], r["males"]) for r in full.entries.collect()}
+    assert len(cells) == 8
+    assert cells[1, "icd10", "A01"] == (1.0, 1.0, None) and cells[1, "icd10", "B02"] == (0.0, 0.0, None)
+    assert cells[2, "icd10", "A01"] == (0.0, None, 0.0) and cells[2, "prescriptions", "d"] == (0.0, 0.0, 0.0)
