@@ -45,14 +45,22 @@ def phenotype_folder(path: Column, extension: str) -> Column:
     return F.regexp_extract(plain, rf".*/(?:\w+=)?([^/]+)/[^/]*\.{re.escape(extension)}(?:/[^/]*)?$", 1)
 
 
-def keyed_by_folder(df: DataFrame, path_col: str, phenotypes: DataFrame, extension: str) -> DataFrame:
+def keyed_by_folder(
+    df: DataFrame, path_col: str, phenotypes: DataFrame, extension: str, files: DataFrame | None = None
+) -> DataFrame:
     """Rows with the key of the phenotype whose joined key names their folder.
 
     The key is looked up, not cut from the name: parts may hold the delimiter,
     and a slash of the phenotype's code is an underscore in the name. Rows of
     other folders are dropped; :func:`unknown_folders` lists them.
+
+    ``files`` lists the paths in ``file``, each once; then a path is matched for
+    each file instead of for each row.
     """
     names = one_per_key(phenotypes.select(*PHENO_KEY, joined_key(phenotypes, safe_phenocode=True).alias("_folder")), ["_folder"])
+    if files is not None:
+        keys = files.select(F.col("file").alias(path_col), phenotype_folder(F.col("file"), extension).alias("_folder"))
+        return df.join(stage(keys.join(names, "_folder").drop("_folder")), path_col).drop(path_col)
     return df.withColumn("_folder", phenotype_folder(F.col(path_col), extension)).join(names, "_folder").drop("_folder", path_col)
 
 
@@ -94,7 +102,7 @@ def load_association_results(
             groups.setdefault(row["header"], []).append(unquote(row["file"]))
         loaded = []
         for scan in readers.result_scans(spark, list(groups.values()), gene, path_col="_file"):
-            keyed = keyed_by_folder(scan, "_file", phenotypes, extension)
+            keyed = keyed_by_folder(scan, "_file", phenotypes, extension, heads)
             loaded.append(
                 results.load_gene_results(keyed, None, metadata, intervals) if gene
                 else results.load_variant_results(keyed, None, metadata, annotation, log_pvalue)

@@ -7,7 +7,6 @@ from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,13 +29,9 @@ def _by_header(spark: SparkSession, path: str | Sequence[str], sep: str, **optio
 
 
 @contextmanager
-def _one_file_per_task(spark: SparkSession) -> Iterator[None]:
-    """Scans planned and run inside have a task per file, which reads a line at a time."""
-    whole = str(1 << 40)
-    conf = {
-        "spark.sql.files.maxPartitionBytes": whole, "spark.sql.files.openCostInBytes": whole,
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
-    }
+def _one_split_per_task(spark: SparkSession) -> Iterator[None]:
+    """Scans planned and run inside have a task for every file, or for every split of a large one."""
+    conf = {"spark.sql.files.openCostInBytes": str(1 << 40)}
     before = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
@@ -50,20 +45,18 @@ def _one_file_per_task(spark: SparkSession) -> Iterator[None]:
 def first_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, header): the first line of every file of a text scan, staged.
 
-    The files are listed by the scan. A task takes the first line of its file
-    and ends, so the bodies are not read beyond the reader's first buffers.
-    Empty files have no line.
+    The files are listed by the scan. Of the splits, each read by its own task, only
+    the first line of a file's first one leaves the scan: handing lines to a function
+    that takes one and ends had whole files sent to it. Empty files have no line.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    with _one_file_per_task(spark):
-        return stage(lines.mapInArrow(first, lines.schema))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"),
+    )
+    # The lower 33 bits number the lines of a task.
+    first = lines.filter((F.col("_block") == 0) & (F.col("_line").bitwiseAND((1 << 33) - 1) == 0))
+    with _one_split_per_task(spark):
+        return stage(first.select("file", "header"))
 
 
 def files_by_header(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:

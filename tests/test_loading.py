@@ -97,3 +97,36 @@ def test_folder_without_phenotype_is_an_error(spark, results_root):
     (results_root / "icd10-X-both_sexes--" / "r.single.txt").write_text(EXOME + "\n")
     with pytest.raises(ValueError, match="icd10-X-both_sexes--"):
         _load(spark, results_root, results_root / "out")
+
+
+def test_first_lines_hands_no_line_to_python(spark, tmp_path):
+    """Only first lines leave the scan, also of a file with many splits."""
+    (tmp_path / "a.txt").write_text("head one\n" + ("y" * 99 + "\n") * 20_000)
+    (tmp_path / "b.txt").write_text("head two\nbody\n")
+    plain, plans, name = readers.stage, [], "spark.sql.files.maxPartitionBytes"
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df)
+
+    readers.stage = watched
+    spark.conf.set(name, "100000")
+    try:
+        rows = readers.first_lines(spark, str(tmp_path)).collect()
+    finally:
+        readers.stage = plain
+        spark.conf.unset(name)
+    assert sorted(r["header"] for r in rows) == ["head one", "head two"]
+    assert "MapInArrow" not in plans[0]
+
+
+def test_keys_are_looked_up_by_file(spark, results_root):
+    """A path is matched once for each file, not for each row."""
+    heads = readers.first_lines(spark, str(results_root / "*" / "*.single.txt"))
+    scan = readers.read_variant_results(spark, str(results_root / "icd10*"), path_col="_file")
+    keyed = loading.keyed_by_folder(scan, "_file", _phenotypes(spark), "single.txt", heads)
+    assert "regexp_extract" not in keyed._jdf.queryExecution().optimizedPlan().toString()
+    want = loading.keyed_by_folder(scan, "_file", _phenotypes(spark), "single.txt")
+    assert keyed.columns == want.columns
+    got, want = [sorted(map(str, df.collect())) for df in (keyed, want)]
+    assert got == want and len(got) == 3
