@@ -195,3 +195,21 @@ def test_spans_of_genes_rank_no_transcripts(spark):
     assert "sort_array" not in genes._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, genes.collect())) == [("ENSG1", "A", "chr1", 5, 9), ("ENSG2", None, "chr1", 9, 9)]
     assert [tuple(r) for r in variants.genes_on_several_contigs(table).collect()] == [("ENSG1", "A", "chr1", "chr2")]
+
+
+def test_first_gene_is_taken_within_the_row(spark):
+    """What is sorted has one record per row, with the same result."""
+    kind = "gene_id string, gene_symbol string, canonical int, most_severe_consequence string, lof string"
+    rows = [
+        ("1", 5, ["A", "G"], [("ENSG2", "B", 1, "stop_gained", "HC"), ("ENSG1", "C", 1, "stop_gained", "HC"), ("ENSG0", "D", 1, "synonymous_variant", None)]),
+        ("1", 5, ["A", "G"], [("ENSG1", "A", 1, "stop_gained", "LC"), (None, "Z", 1, "intron_variant", None)]),
+        ("1", 6, ["A", "G"], [("ENSG3", "E", None, "stop_gained", "HC")]),
+        ("1", 7, ["A", "G"], [(None, "Y", 1, "synonymous_variant", None), ("ENSG4", "F", 1, "synonymous_variant", None)]),
+    ]
+    table = spark.createDataFrame(rows, f"contig string, pos int, alleles array<string>, transcript_consequences array<struct<{kind.replace(' ', ':')}>>".replace(",:", ", "))
+    key = ["contig", "pos", "alleles"]
+    first = variants.annotate_variants(table, key, first_gene=True)
+    assert sorted(r["pos"] for r in first.collect()) == [5, 5, 7]
+    every = variants.one_gene_per_variant(variants.annotate_variants(table, key), key)
+    got = sorted(map(tuple, variants.one_gene_per_variant(first, key).collect()))
+    assert got == sorted(map(tuple, every.collect())) and [r[3] for r in got] == ["A", "Y"]
