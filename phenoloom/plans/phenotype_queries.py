@@ -19,7 +19,7 @@ from phenoloom.model import PHENO_KEY, SEXES, MatrixFrame, pheno_key
 from phenoloom.operators import codings, combine, defaults, export, icd, munging, pairwise, registry, reshape
 from phenoloom.plans.registry import query
 from phenoloom.plans.views import Tables, with_views
-from phenoloom.scale import lookup, one_per_key
+from phenoloom.scale import dealt, lookup, one_per_key
 from phenoloom.session import stage
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -100,7 +100,9 @@ def p2(t):
     sum(l_quantity) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3""",
 )
 def p4(t):
-    entries = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    # Rows, hoisted fields and totals each join the tables, all in the same tasks.
+    lines, orders = dealt(t.lineitem, ["l_orderkey"]), dealt(t.orders, ["o_orderkey"])
+    entries = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_id"),
         F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"), "l_quantity",
     )

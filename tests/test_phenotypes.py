@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from phenoloom.model import PHENO_KEY, MatrixFrame
 from phenoloom.operators import codings, combine, icd, munging, pairwise, reshape
+from phenoloom.plans import phenotype_queries
+from phenoloom.plans.views import Tables
 
 
 def entries_of(spark, matrix):
@@ -216,3 +218,17 @@ def test_random_and_custom_sources(spark):
     assert cols[("categorical", "random_strat", "both_sexes", "8", "2")].n_cases_both_sexes == 1
     assert cols[("categorical", "c", "both_sexes", "", "")].n_cases_both_sexes == 1
     assert cols[("categorical", "c", "both_sexes", "", "")].description == "text"
+
+
+def test_hoisting_query_is_dealt_to_all_partitions(spark, tmp_path):
+    """The tasks that join, hoist and sum get a share of the orders each; they are not merged into larger ones."""
+    orders = [(i, "OFP"[i % 3], i / 4) for i in range(400)] + [(None, "O", 1.0)]
+    lines = [(i, i % 7, float(j)) for i in range(0, 500, 2) for j in range(1 + i % 3)] + [(None, 1, 1.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    result = phenotype_queries.p4(Tables(spark, str(tmp_path)))
+    got = result.withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in got}) == 8
+    want = {i: ("OFP"[i % 3], i / 4, 1 + i % 3, float(sum(range(1 + i % 3)))) for i in range(0, 400, 2)}
+    assert len(got) == len(want)
+    assert {r.order_id: (r.status, r.price, r.n_entries, r.quantity) for r in got} == want
