@@ -226,7 +226,8 @@ def combine_sources(
     ``defaults``). Otherwise both are made, a record for every person and column;
     ``store_false=False`` just leaves out the false cells of diagnosis codes.
     """
-    unique = one_per_key(covariates, [ROW])
+    # Staged: the rows and the cells of every source look it up.
+    unique = stage(one_per_key(covariates, [ROW]))
     parts = []
     for name, frame in sources.items():
         if "icd_code" in frame.col_key:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from phenoloom.model import MatrixFrame
 from phenoloom.operators.munging import any_true
-from phenoloom.scale import lookup
+from phenoloom.scale import dealt, lookup
 from phenoloom.session import stage
 
 # Data fields that hold the codes of each source.
@@ -56,10 +56,10 @@ def icd_matrix(
         .filter("count > 1")
         .select("icd_code")
     )
+    # Dealt by person too: after the join by code a task would group all people of its codes.
+    shortened = entries.filter(F.length("icd_code").isin(3, 4)).withColumn("icd_code", short)
     merged = (
-        entries.filter(F.length("icd_code").isin(3, 4))
-        .withColumn("icd_code", short)
-        .join(rollup, "icd_code", "left_semi")
+        dealt(shortened.join(rollup, "icd_code", "left_semi"), [row_key, "icd_code"])
         .groupBy(row_key, "icd_code")
         .agg(*[any_true(F.col(s)).alias(s) for s in [*sources, "any_codes"]])
         .withColumn("truncated", F.lit(True))

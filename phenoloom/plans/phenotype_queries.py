@@ -436,11 +436,15 @@ _CUSTOMER_CODES = """codes AS (SELECT o_custkey AS user_id, c.source, c.icd_code
     JOIN orders ON c.user_id = o_orderkey), """
 
 
+def customer_codes(t: Tables) -> DataFrame:
+    # Dealt, as a task joins and groups at once.
+    person = dealt(t.orders.select(F.col("o_orderkey").alias("userId"), "o_custkey"), ["userId"])
+    return dealt(t.codes, ["userId"]).join(person, "userId").select(F.col("o_custkey").alias("userId"), "source", "icd_code")
+
+
 def customer_diagnoses(t: Tables) -> MatrixFrame:
     """Codes of customers, with every customer as a row."""
-    person = t.orders.select(F.col("o_orderkey").alias("userId"), "o_custkey")
-    codes = t.codes.join(person, "userId").select(F.col("o_custkey").alias("userId"), "source", "icd_code")
-    frame = icd.icd_matrix(codes, rows=t.samples.select("userId"))
+    frame = icd.icd_matrix(customer_codes(t), rows=t.samples.select("userId"))
     texts = {
         "short_meaning": F.concat(F.lit("short "), "icd_code"), "meaning": F.concat(F.lit("long "), "icd_code"),
         "icd_version": F.lit("icd10"),
@@ -514,7 +518,8 @@ def all_cells(t: Tables, legacy: bool) -> DataFrame:
     )
     sources = {"biomarkers": biomarkers, "icd": customer_diagnoses(t), "prescriptions": event_drugs(t)}
     full = combine.combine_sources(sources, t.samples, legacy=legacy, implicit=True)
-    full = full.with_(cols=stage(full.cols), entries=stage(full.entries))
+    # Staged: every field joins and counts all three, and made anew the rows fill the same tasks as the cells.
+    full = full.with_(rows=stage(full.rows), cols=stage(full.cols), entries=stage(full.entries))
     fields = [_cell_sums(full, s).withColumn("field", F.lit(s)) for s in SEXES]
     union = fields[0].unionByName(fields[1]).unionByName(fields[2])
     return union.drop("pheno_sex", "coding", "modifier")
@@ -619,9 +624,7 @@ def combine_all(t: Tables, legacy: bool):
         measures.select("pheno").distinct().withColumns({"Field": F.lit("field"), "Path": F.lit("path")}),
         measures, ["userId"], ["pheno"],
     )
-    person = t.orders.select(F.col("o_orderkey").alias("userId"), "o_custkey")
-    codes = t.codes.join(person, "userId").select(F.col("o_custkey").alias("userId"), "source", "icd_code")
-    diagnoses = icd.icd_matrix(codes)
+    diagnoses = icd.icd_matrix(customer_codes(t))
     diagnoses = diagnoses.with_(
         cols=diagnoses.cols.withColumns(
             {"short_meaning": F.concat(F.lit("short "), "icd_code"), "meaning": F.concat(F.lit("long "), "icd_code")}

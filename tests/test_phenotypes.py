@@ -232,3 +232,37 @@ def test_hoisting_query_is_dealt_to_all_partitions(spark, tmp_path):
     want = {i: ("OFP"[i % 3], i / 4, 1 + i % 3, float(sum(range(1 + i % 3)))) for i in range(0, 400, 2)}
     assert len(got) == len(want)
     assert {r.order_id: (r.status, r.price, r.n_entries, r.quantity) for r in got} == want
+
+
+def test_rolled_up_codes_are_dealt_by_person(spark):
+    """All people share one code; they are grouped by all tasks, not by the one of the code."""
+    records = [(i, "primary_codes" if i % 2 else None, c) for i in range(300) for c in ("A01", "A012")] + [(None, "primary_codes", "A01")]
+    frame = icd.icd_matrix(spark.createDataFrame(records, "userId long, source string, icd_code string"))
+    got = frame.entries.filter("truncated").withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in got}) == 8
+    people = {r.userId: (r.icd_code, r.primary_codes, r.any_codes) for r in got}
+    assert len(got) == 301 and people == {i: ("A01", bool(i % 2), True) for i in range(300)} | {None: ("A01", True, True)}
+
+
+def test_cells_of_combined_sources_read_staged_tables(spark, tmp_path):
+    """Rows, columns and cells are made once; the counts of each field read them back."""
+    tables = {
+        "customer": ([(i, i % 5) for i in range(1, 31)], "c_custkey long, c_nationkey int"),
+        "orders": ([(i, i % 20 + 1, "OFP"[i % 3], float(i), "5-LOW") for i in range(200)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"),
+        "lineitem": ([(i, i % 4, i % 3, j) for i in range(200) for j in range(1, 4)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int"),
+        "events": ([(i, "view", None) for i in range(25, 41)], "user_id long, event_type string, ts timestamp"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = Tables(spark, str(tmp_path))
+    codes = phenotype_queries.customer_codes(t).withColumn("task", F.spark_partition_id()).collect()
+    assert len(codes) == 600 and len({r.task for r in codes}) == 8
+    cells = phenotype_queries.a8_cells(t)
+    assert not [f for f in cells.inputFiles() if str(tmp_path) in f]
+    sums = {}
+    for r in cells.collect():
+        key = r.trait_type, r.phenocode, r.field
+        n, ids = sums.get(key, (0, 0))
+        sums[key] = n + r.n, ids + r.ids
+    assert set(sums.values()) == {(40, sum(range(1, 41)))} and {k[0] for k in sums} == {"icd10", "biomarkers", "prescriptions"}
