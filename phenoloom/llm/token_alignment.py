@@ -28,6 +28,7 @@ from phenoloom.session import stage
 CHUNK = re.compile(" *[^ ]+| +")
 NO_TOKENS = np.zeros(0, dtype=np.int64)
 STEP_BYTES = 1 << 18  # texts aligned at a time
+ROW_GROUP_BYTES = 1 << 24
 
 
 class ByteTokens:
@@ -212,15 +213,29 @@ class Aligner:
         return out
 
 
+def _packed(links: np.ndarray, n_links: np.ndarray, n_pairs: int) -> list[bytes]:
+    """The links of every document, as places among the block's pairs in 1, 2 or 4 bytes each."""
+    kind = f"<u{np.min_scalar_type(max(n_pairs - 1, 0)).itemsize}"
+    coded, at = links.astype(kind), _starts(n_links)
+    return [coded[i:j].tobytes() for i, j in zip(at, at[1:])]
+
+
+def _unpacked(coded: bytes, n_links: int) -> np.ndarray:
+    return np.frombuffer(coded, dtype=f"<u{len(coded) // n_links}") if n_links else NO_TOKENS
+
+
 def _blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: str, block_bytes: int, most: int) -> DataFrame:
-    """One record per block of documents: their counts, digests and links, and the block's distinct pairs."""
+    """Small records of two kinds, by block of documents.
+
+    One per distinct pair of the block, in order: ``pair`` and its count ``n``.
+    One per document, without a pair: its counts, digest and links, which are
+    places among the block's pairs.
+    """
     plain = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
-    longs, ints = T.ArrayType(T.LongType(), False), T.ArrayType(T.IntegerType(), False)
     schema = T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(plain.schema["_id"].dataType)),
-        T.StructField("n_a", longs), T.StructField("n_b", longs), T.StructField("n_groups", longs),
-        T.StructField("digests", T.ArrayType(T.StringType(), False)), T.StructField("links", ints),
-        T.StructField("pairs", longs), T.StructField("counts", longs),
+        T.StructField("block", T.LongType()), T.StructField("pair", T.LongType()), T.StructField("n", T.LongType()),
+        T.StructField("id", plain.schema["_id"].dataType), T.StructField("n_a", T.LongType()), T.StructField("n_b", T.LongType()),
+        T.StructField("n_groups", T.LongType()), T.StructField("digest", T.StringType()), T.StructField("links", T.BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,6 +243,13 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column("_id"), batch.column("_text")
+            none = [pa.nulls(0, t) for t in (pa.int64(), pa.int64(), ids.type, pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())]
+
+            def records(block: int, n: int, first: int, *columns, none=none) -> pa.RecordBatch:
+                given = {first + i: c for i, c in enumerate(columns)}
+                rest = [given[i] if i in given else pa.nulls(n, x.type) for i, x in enumerate(none)]
+                return pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), *rest], schema.fieldNames())
+
             sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
             at = 0
             while at < len(texts):
@@ -236,12 +258,11 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
                     align(texts.slice(i, j - i).to_pylist()) for i, j in _steps(sizes, at, to, min(block_bytes, STEP_BYTES))
                 ])
                 pairs, links, counts = np.unique(made.links, return_inverse=True, return_counts=True)
-                kind = lambda x, t=pa.int64(): pa.array([x], pa.list_(t))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part << 32 | number]), pa.ListArray.from_arrays(pa.array([0, to - at], pa.int32()), ids.slice(at, to - at)),
-                     kind(made.n_a), kind(made.n_b), kind(made.n_groups), kind(made.digests, pa.string()),
-                     kind(links.astype(np.int32), pa.int32()), kind(pairs), kind(counts)],
-                    schema.fieldNames(),
+                block = part << 32 | number
+                yield records(block, len(pairs), 0, pa.array(pairs), pa.array(counts))
+                yield records(
+                    block, to - at, 2, ids.slice(at, to - at), pa.array(made.n_a), pa.array(made.n_b), pa.array(made.n_groups),
+                    pa.array(made.digests, pa.string()), pa.array(_packed(links, made.n_groups, len(pairs)), pa.binary()),
                 )
                 at, number = to, number + 1
         align.forget()
@@ -274,15 +295,16 @@ def align_tokenizers(
     Texts are read once, in blocks of about ``block_bytes``, and are not
     shuffled. A block asks for each of its distinct pairs once, so what is
     exchanged is smaller than the links and a frequent pair has at most one
-    request per block; the answers are gathered per block, no more than the
-    block's own pairs. Broadcast is one row per id of B, which the vocabulary
+    request per block. The answers meet the block's documents in order, answers
+    first; a task's Python holds one block's answers, and no record is larger than the
+    links of one document. Broadcast is one row per id of B, which the vocabulary
     bounds.
     """
     path_a = path_a or public_tokenizers.path("byte_bpe_50k.json")
     path_b = path_b or public_tokenizers.path("piece_bpe_32k.model")
-    blocks = stage(_blocks(docs, id_col, text_col, path_a, path_b, block_bytes, most))
-    asked = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "counts")).alias("k", "p"))
-    asked = asked.select("block", "k", F.col("p.pairs").alias("pair"), F.col("p.counts").alias("n"))
+    # Small row groups: a task that reads them decodes a group's links at once.
+    blocks = stage(_blocks(docs, id_col, text_col, path_a, path_b, block_bytes, most), **{"parquet.block.size": ROW_GROUP_BYTES})
+    asked = blocks.filter("pair IS NOT NULL")
     total = stage(asked.groupBy("pair").agg(F.sum("n").alias("n")))
     b_id = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))
     highest = total.groupBy(b_id.alias("b_id")).agg(F.max("n").alias("most"))
@@ -290,37 +312,46 @@ def align_tokenizers(
         total.withColumn("b_id", b_id).join(F.broadcast(highest), "b_id")
         .select("pair", "b_id", "n", (F.col("n") == F.col("most")).alias("is_best"))
     )
-    answers = (
-        asked.select("block", "k", "pair").join(rated, "pair")
-        .groupBy("block").agg(F.collect_list(F.struct("k", "n", "is_best")).alias("answers"))
+    answers = asked.select("block", "pair").join(rated, "pair").select("block", "pair", "n", "is_best")
+    found = answers.unionByName(blocks.filter("pair IS NULL").drop("pair", "n"), allowMissingColumns=True)
+    # One number to sort by: blocks, and in a block the documents last.
+    placed = (
+        found.withColumn("place", F.shiftleft("block", 1) + F.col("pair").isNull().cast("int"))
+        .repartition("block").drop("block").sortWithinPartitions("place")
     )
-    joined = blocks.drop("pairs", "counts").join(answers, "block", "left")
-    id_type = blocks.schema["ids"].dataType.elementType
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     schema = T.StructType([
-        T.StructField(id_col, id_type), *[T.StructField(n, T.LongType()) for n in names],
+        T.StructField(id_col, blocks.schema["id"].dataType), *[T.StructField(n, T.LongType()) for n in names],
         T.StructField("groups_sha256", T.StringType()),
     ])
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, some = -1, []  # a block and its answers, which may go on in the next batch
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                flat = {n: row.column(n).flatten() for n in ("ids", "n_a", "n_b", "n_groups", "digests", "links", "answers")}
-                found, n_groups = flat["answers"], flat["n_groups"].to_numpy()
-                n, best = np.zeros(len(found), dtype=np.int64), np.zeros(len(found), dtype=np.int64)
-                k = found.field("k").to_numpy(zero_copy_only=False)
-                n[k] = found.field("n").to_numpy(zero_copy_only=False)
-                best[k] = found.field("is_best").to_numpy(zero_copy_only=False)
-                links, ends = flat["links"].to_numpy(), _starts(n_groups)
-                sums = [np.diff(_starts(x[links])[ends]) for x in (best, n)]
+            place = batch.column("place").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(place)) + 1), len(place)]
+            for i, j in zip(edges, edges[1:]):
+                if i == j:  # an empty batch
+                    continue
+                part = batch.slice(i, j - i)
+                if place[i] >> 1 != block:
+                    block, some = place[i] >> 1, []
+                if not place[i] & 1:
+                    some.append([part.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "n", "is_best")])
+                    continue
+                if len(some) != 1:
+                    some = [[np.concatenate(x) for x in zip(*some)] or [NO_TOKENS] * 3]
+                order = np.argsort(some[0][0])  # links are places among the block's pairs in order
+                n, best = some[0][1][order], some[0][2][order].astype(np.int64)
+                n_links = part.column("n_groups")
+                links = [_unpacked(*x) for x in zip(part.column("links").to_pylist(), n_links.to_pylist())]
+                sums = [pa.array([int(x[at].sum()) for at in links], pa.int64()) for x in (best, n)]
                 yield pa.RecordBatch.from_arrays(
-                    [flat["ids"], flat["n_a"], flat["n_b"], flat["n_groups"], flat["n_groups"], *map(pa.array, sums), flat["digests"]],
-                    schema.fieldNames(),
+                    [*(part.column(c) for c in ("id", "n_a", "n_b")), n_links, n_links, *sums, part.column("digest")], schema.fieldNames()
                 )
 
     pairs = rated.select(F.shiftright("pair", 32).cast("int").alias("a_id"), F.col("b_id").cast("int").alias("b_id"), "n", "is_best")
-    return joined.mapInArrow(rate, schema), pairs
+    return placed.mapInArrow(rate, schema), pairs
 
 
 def op13_token_alignment(documents: DataFrame) -> DataFrame:

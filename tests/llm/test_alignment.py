@@ -122,3 +122,23 @@ def test_no_text_is_shuffled(documents):
     docs, _ = ta.align_tokenizers(documents)
     plan = docs._jdf.queryExecution().optimizedPlan().toString()
     assert "text" not in plan.split("Join")[0]
+
+
+def test_records_are_of_one_document_or_one_pair(make):
+    rows = [(i, f"word{i} and some more words") for i in range(40)]
+    table = make(rows).coalesce(1)
+    want, n, _ = expected(rows)
+    found = ta._blocks(table, "doc_id", "text", A, B, 1 << 18, 100).collect()
+    assert len(found) == len(rows) + len(n)  # one block holds all
+    assert {(r["pair"] >> 32, r["pair"] & 0xFFFFFFFF): r["n"] for r in found if r["pair"] is not None} == n
+    assert max(len(r["links"]) for r in found if r["links"] is not None) == max(w[3] for w in want.values())
+    docs, _ = ta.align_tokenizers(table)
+    assert "collect_list" not in docs._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("n_pairs, size", [(1, 1), (256, 1), (257, 2), (1 << 16, 2), ((1 << 16) + 1, 4)])
+def test_links_take_the_bytes_they_need(n_pairs, size):
+    links, n_links = np.array([0, n_pairs - 1, n_pairs // 2]), np.array([2, 0, 1])
+    coded = ta._packed(links, n_links, n_pairs)
+    assert [len(c) for c in coded] == [2 * size, 0, size]
+    assert [ta._unpacked(c, n).tolist() for c, n in zip(coded, n_links)] == [links[:2].tolist(), [], links[2:].tolist()]
